@@ -17,7 +17,7 @@ _REST = [
     "l_returnflag", "l_linestatus",
 ]
 CLEAN_SQL = f"""
-SELECT {', '.join(c for c in _REST if c != 'l_shipdate')}, CAST(l_shipdate AS DATE) AS shipped FROM (
+SELECT {', '.join(c for c in _REST if c != 'l_shipdate')}, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_REST)}) AS rn FROM lineitem)
 WHERE rn = 1 AND l_quantity BETWEEN 5 AND 40"""
 
@@ -25,7 +25,7 @@ WHERE rn = 1 AND l_quantity BETWEEN 5 AND 40"""
 def cleaned_lines(lines):
     picked = extract_columns(lines, "l_orderkey", _REST)
     kept = keep_plausible(picked, "l_orderkey", "l_quantity", 5, 40, [F.col(c) for c in _REST])
-    return kept.withColumn("shipped", F.col("l_shipdate").cast("date")).drop("l_shipdate")
+    return kept.withColumn("shipped", F.date_format("l_shipdate", "yyyy-MM-dd")).drop("l_shipdate")
 
 
 @query(CLEAN_SQL)
@@ -60,8 +60,7 @@ def distinct_kinds(spark, folder):
 
 
 @query("""
-SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'P' THEN CAST(o_orderdate AS DATE) WHEN 'F' THEN CAST(o_orderdate AS DATE) END
-       AS day FROM orders WHERE o_orderstatus IN ('P', 'F') AND CAST(o_orderdate AS DATE) >= DATE '1998-01-01'""")
+SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderstatus IN ('P', 'F') AND CAST(o_orderdate AS DATE) >= DATE '1998-01-01'""")
 def coerce_dates(spark, folder):
     status = F.col("o_orderstatus")
     text = (
@@ -71,13 +70,13 @@ def coerce_dates(spark, folder):
     orders = rename_columns(table(spark, folder, "orders").withColumn("text ", text), {"o_orderkey": "id", "text": "raw"})
     return orders.select("id", to_date_any(F.col("raw")).alias("day")).filter(
         F.col("day") >= F.lit("1998-01-01").cast("date")
-    )
+    ).withColumn("day", F.col("day").cast("string"))
 
 
-@query("SELECT o_orderkey, o_orderdate::DATE AS day FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 20")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 20")
 def head_orders(spark, folder):
     rows = head(table(spark, folder, "orders"), 20, "o_orderdate", "o_orderkey")
-    return rows.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    return rows.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
 
 def _finished(spark, folder):

@@ -30,14 +30,14 @@ h AS (SELECT {pick}
     count(*) FILTER (data_source = 'ocr') AS n_auto, count(*) FILTER (data_source = 'manual_override') AS n_reviewed
   FROM merged {by})
 SELECT {pick} f.p AS first_price, l.p AS latest_price, l.g AS latest_gallons, round(l.p - f.p, 4) AS delta,
-  round((l.p - f.p) / nullif(f.p, 0) * 100, 4) AS delta_pct,
+  round((l.p - f.p) / nullif(f.p, 0) * 100, 6) AS delta_pct,
   CASE WHEN l.p - f.p > 0 THEN 'up' WHEN l.p - f.p < 0 THEN 'down' WHEN l.p = f.p THEN 'flat' END AS trend,
-  round(mean_price, 4) AS mean_price, n_total, n_auto, n_reviewed FROM h"""
+  round(mean_price, 10) AS mean_price, n_total, n_auto, n_reviewed FROM h"""
 
 
 def _headline(df, entity):
     return B.headline(df, entity).drop("first_at", "latest_at").withColumns(
-        {c: F.round(c, 4) for c in ("delta", "delta_pct", "mean_price")}
+        {"delta": F.round("delta", 4), "delta_pct": F.round("delta_pct", 6), "mean_price": F.round("mean_price", 10)}
     )
 
 
@@ -74,8 +74,8 @@ s AS (SELECT filename, user_id, price_per_gallon_gtq AS v,
   FROM merged WHERE parse_ok),
 a AS (SELECT *, lo - greatest((hi - lo) * 0.25, 1.0) AS axis_low, hi + greatest((hi - lo) * 0.25, 1.0) AS axis_high
       FROM s WHERE n >= 2)
-SELECT filename, user_id, position, round(axis_low, 4) AS axis_low, round(axis_high, 4) AS axis_high,
-  round(position / (n - 1), 6) AS x, round(1 - (v - axis_low) / (axis_high - axis_low), 6) AS y FROM a"""
+SELECT filename, user_id, position, round(axis_low, 6) AS axis_low, round(axis_high, 6) AS axis_high,
+  round(position / (n - 1), 9) AS x, round(1 - (v - axis_low) / (axis_high - axis_low), 9) AS y FROM a"""
 
 
 def _chart(spark, folder):
@@ -85,8 +85,8 @@ def _chart(spark, folder):
 @query(_CHART_SQL)
 def chart_series(spark, folder):
     return _chart(spark, folder).select(
-        "filename", "user_id", "position", F.round("axis_low", 4).alias("axis_low"),
-        F.round("axis_high", 4).alias("axis_high"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"),
+        "filename", "user_id", "position", F.round("axis_low", 6).alias("axis_low"),
+        F.round("axis_high", 6).alias("axis_high"), F.round("x", 9).alias("x"), F.round("y", 9).alias("y"),
     )
 
 
@@ -94,8 +94,8 @@ def chart_series(spark, folder):
        + " WHERE position % greatest(1, n // 5) = 0")
 def chart_ticks(spark, folder):
     return every_nth(_chart(spark, folder)).select(
-        "filename", "user_id", "position", F.round("axis_low", 4).alias("axis_low"),
-        F.round("axis_high", 4).alias("axis_high"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"),
+        "filename", "user_id", "position", F.round("axis_low", 6).alias("axis_low"),
+        F.round("axis_high", 6).alias("axis_high"), F.round("x", 9).alias("x"), F.round("y", 9).alias("y"),
     )
 
 

@@ -16,7 +16,8 @@ from tabulon.operators import metrics as M
 from tabulon.operators.ordering import head
 from tabulon.operators.quality import class_rate
 from tabulon.operators.split import stratified_folds, stratified_split
-from tabulon.session import scratch_path, shared_folder
+from tabulon.session import scratch_path
+from tabulon.sources.writers import write_layer
 
 _NUMERIC, _CATEGORICAL, _SCALED = ["n_chars", "toxic"], ["lang", "source"], ["l_extendedprice", "l_discount", "l_tax"]
 
@@ -31,8 +32,10 @@ def graded(spark, folder):
 
 
 def graded_split(spark, folder):
-    shared_folder(spark)  # tree training cuts its lineage there
-    parts = stratified_split(graded(spark, folder), "quality", ["doc_id"])
+    # Stored once: trainers pass over these rows many times.
+    parts = write_layer(
+        stratified_split(graded(spark, folder), "quality", ["doc_id"]), scratch_path(spark, "graded")
+    )
     return parts.filter("split = 'train'"), parts.filter("split = 'test'")
 
 

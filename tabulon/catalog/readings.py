@@ -19,7 +19,9 @@ from tabulon.operators.overrides import (
 )
 from tabulon.operators.select import stack
 from tabulon.plans.reading_log import derive_log
+from tabulon.session import scratch_path
 from tabulon.sources.metadata import metadata_fields
+from tabulon.sources.writers import write_layer
 
 
 @query("WITH " + S.READINGS_SQL + "," + S.FLAGS_SQL + """
@@ -65,9 +67,9 @@ def confirmed_rows(spark, folder):
     return board.na.drop(subset=["price_diesel_gtq", "price_regular_gtq"]).select("o_orderkey")
 
 
-@query("WITH " + S.EVENTS_SQL + "," + S.OFFICIAL_SQL + "SELECT * FROM official")
+@query("WITH " + S.EVENTS_SQL + "," + S.OFFICIAL_SQL + "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM official")
 def official_daily(spark, folder):
-    return S.official(spark, folder)
+    return S.official(spark, folder).withColumn("date", F.col("date").cast("string"))
 
 
 @query("WITH " + S.READINGS_SQL + "," + S.OFFICIAL_SQL + """
@@ -282,7 +284,7 @@ def _export_sql(partition: str) -> str:
     w = f"OVER ({partition} ORDER BY datetime_original, filename)"
     return S.LOG_SQL + f"""
 SELECT filename, user_id, datetime_original, price_per_gallon_gtq, price_diesel_gtq, price_regular_gtq,
-  price_super_gtq, price_vpower_gtq, day AS fecha, dayname(day) AS day_of_week, CAST(month(day) AS INTEGER) AS month,
+  price_super_gtq, price_vpower_gtq, CAST(day AS VARCHAR) AS fecha, dayname(day) AS day_of_week, CAST(month(day) AS INTEGER) AS month,
   isodow(day) >= 6 AS is_weekend, CAST(day - lag(day) {w} AS INTEGER) AS days_since_previous_fill,
   round(price_per_gallon_gtq - lag(price_per_gallon_gtq) {w}, 6) AS price_change_gtq,
   round((price_per_gallon_gtq / nullif(lag(price_per_gallon_gtq) {w}, 0) - 1) * 100, 4) AS price_change_pct,
@@ -296,6 +298,7 @@ EXPORT_SQL = _export_sql("")
 
 def rounded_export(df):
     return df.withColumns({
+        "fecha": F.col("fecha").cast("string"),
         "price_change_gtq": F.round("price_change_gtq", 6), "price_change_pct": F.round("price_change_pct", 4),
         "station_markup_super_gtq": F.round("station_markup_super_gtq", 6),
     })
@@ -304,10 +307,11 @@ def rounded_export(df):
 def derived_log(spark, folder):
     return derive_log(
         S.readings(spark, folder), S.overrides(spark, folder), S.board_overrides(spark, folder),
-        S.official(spark, folder),
+        S.official(spark, folder), staging=scratch_path(spark, "merged"),
     )
 
 
 @query(_export_sql("PARTITION BY user_id"))
 def public_export_by_user(spark, folder):
-    return rounded_export(public_export(derived_log(spark, folder), S.official(spark, folder), ["user_id"]))
+    stored = write_layer(derived_log(spark, folder), scratch_path(spark, "log"))
+    return rounded_export(public_export(stored, S.official(spark, folder), ["user_id"]))

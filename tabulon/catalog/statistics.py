@@ -34,7 +34,7 @@ def _round(df, decimals, *keep):
 
 def _describe_sql(c: str) -> str:
     return f"""
-SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 4) AS mean,
+SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 8) AS mean,
   round((SELECT {c} FROM g WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)::DOUBLE, 4) AS mode,
   round(stddev_samp({c}), 4) AS std, round(min({c})::DOUBLE, 4) AS min, round(quantile_cont({c}, 0.25), 4) AS p25,
   round(median({c}), 4) AS median, round(quantile_cont({c}, 0.75), 4) AS p75, round(max({c})::DOUBLE, 4) AS max,
@@ -45,7 +45,8 @@ SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 4) AS mean,
 
 @query(_GAPS_SQL + " UNION ALL ".join(_describe_sql(c) for c in _COLUMNS))
 def describe_numeric(spark, folder):
-    return _round(D.describe(_gappy(spark, folder)), 4, "column", "count")
+    d = D.describe(_gappy(spark, folder))
+    return _round(d.withColumn("mean", F.round("mean", 8)), 4, "column", "count", "mean")
 
 
 @query(_GAPS_SQL + " UNION ALL ".join(f"""

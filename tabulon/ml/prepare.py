@@ -112,8 +112,7 @@ class TabularPreparer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             inputs += [f"hot_{c}" for c in categorical]
         out = self.getOrDefault(self.outputCol)
         stages.append(VectorAssembler(inputCols=inputs, outputCol=out))
-        kept = [c for c in dataset.columns if c not in made]
         stages.append(SQLTransformer(
-            statement=f"SELECT {', '.join(_quoted(c) for c in [*kept, out])} FROM __THIS__"
+            statement=f"SELECT * EXCEPT ({', '.join(_quoted(c) for c in made)}) FROM __THIS__"
         ))
         return PipelineModel(stages)

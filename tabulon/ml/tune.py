@@ -6,15 +6,19 @@ import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 
 from tabulon.ml.models import DEFAULT_SEED, InverseStrengthLogisticRegression, build_model
+from tabulon.ml.prepare import TabularPreparer
 from tabulon.operators.split import stratified_folds
+from tabulon.session import scratch_path
+from tabulon.sources.writers import write_layer
 
 STEP = "classifier"
 _UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
@@ -80,7 +84,7 @@ def tune_model(
     """Search one registered model and refit its best combination on all training rows.
 
     'grid' tries every combination, 'random' a seeded sample of ``n_iter`` without
-    repeats. Preparation is refitted inside every fold. ``train`` holds 'label',
+    repeats. Preparation is fitted once per fold, on that fold's training rows only. ``train`` holds 'label',
     the key and the feature columns.
     """
     if search_type not in ("grid", "random"):
@@ -90,22 +94,47 @@ def tune_model(
     if search_type == "random":
         tried = random.Random(seed).sample(tried, min(n_iter, len(tried)))
     classifier = space.make()
-    pipeline: Pipeline = build_model(classifier, numeric, categorical)
     maps = [
         {classifier.getParam(space.spark_names[name]): _spark_value(name, value) for name, value in combo.items()}
         for combo in tried
     ]
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=maps, numFolds=cv, foldCol="fold", parallelism=parallelism,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0),
+    totals = [0.0] * len(tried)
+    folded = write_layer(
+        stratified_folds(train, "label", key, cv, seed), scratch_path(train.sparkSession, "folds")
     )
-    fitted = search.fit(stratified_folds(train, "label", key, cv, seed))
-    best = max(range(len(tried)), key=lambda i: fitted.avgMetrics[i])
+    for fold in range(cv):
+        fit_rows, held = folded.filter(f"fold != {fold}"), folded.filter(f"fold = {fold}")
+        prepared = TabularPreparer(numeric, categorical).fit(fit_rows)
+        fit_vectors, held_vectors = (prepared.transform(d).select("label", "features") for d in (fit_rows, held))
+        for i, score in enumerate(_fold_scores(classifier, maps, fit_vectors, held_vectors, parallelism)):
+            totals[i] += score / cv
+    best = max(range(len(tried)), key=lambda i: totals[i])
+    model = build_model(classifier.copy(maps[best]), numeric, categorical).fit(train)
     return TuningResult(
-        model_name, fitted.bestModel, {f"{STEP}__{k}": v for k, v in tried[best].items()}, fitted.avgMetrics[best]
+        model_name, model, {f"{STEP}__{k}": v for k, v in tried[best].items()}, totals[best]
     )
 
 
+def _fold_scores(
+    classifier: Estimator, maps: Sequence[dict], fit_vectors: DataFrame, held_vectors: DataFrame, parallelism: int
+) -> list[float]:
+    """ROC AUC of every combination on one fold; the fold's vectors are shared by all of them."""
+    judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
+    fit_vectors.persist()
+    held_vectors.persist()
+    try:
+        with ThreadPool(min(parallelism, len(maps))) as pool:
+            return pool.map(
+                inheritable_thread_target(
+                    lambda m: judge.evaluate(classifier.fit(fit_vectors, m).transform(held_vectors))
+                ),
+                maps,
+            )
+    finally:
+        fit_vectors.unpersist()
+        held_vectors.unpersist()
+
+
 def tune_all_models(
     train: DataFrame, key: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
     search_type: str = "grid", names: Sequence[str] | None = None, **options,

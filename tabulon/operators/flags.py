@@ -29,12 +29,13 @@ def flag_readings(df: DataFrame, notes_are_array: bool = True) -> DataFrame:
     """Add ``needs_review`` and ``review_reason``.
 
     The price rule needs at least three valid rows; its centre is the exact median
-    of their prices. Both arrive as scalar subqueries, so no row passes the driver.
+    of their prices. It arrives as a scalar subquery, so no row passes the driver,
+    and is null (no price is flagged) while there are too few.
     """
-    valid = df.filter("parse_ok")
-    enough = valid.agg(F.count(F.lit(1)).alias("n")).scalar() >= MIN_VALID_ROWS
-    median = exact_medians(valid, ["price_per_gallon_gtq"]).select("median").scalar()
     price = F.col("price_per_gallon_gtq")
+    valid = df.select(F.when(F.col("parse_ok"), price).alias("price"), "parse_ok")
+    gate = F.count_if("parse_ok") >= MIN_VALID_ROWS
+    median = exact_medians(valid, ["price"], gate).select("median").scalar()
     reasons = join_reasons([
         (~F.col("parse_ok"), REASON_UNREAD),
         (~within(F.col("total_gtq"), F.lit(EXPECTED_TOTAL), TOTAL_TOLERANCE), REASON_TOTAL),
@@ -43,7 +44,7 @@ def flag_readings(df: DataFrame, notes_are_array: bool = True) -> DataFrame:
             & (F.col("data_source") != SOURCE_HUMAN),
             REASON_ASSUMED,
         ),
-        (F.col("parse_ok") & enough & (relative_deviation(price, median) > MAX_DEVIATION), REASON_PRICE),
+        (F.col("parse_ok") & (relative_deviation(price, median) > MAX_DEVIATION), REASON_PRICE),
     ])
     return df.withColumn("review_reason", reasons).withColumn("needs_review", F.col("review_reason") != "")
 

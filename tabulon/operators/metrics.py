@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabulon.operators.ordering import CELL, ROWS_PER_CELL, grid_cell
+from tabulon.operators.ordering import CELL, ROWS_PER_CELL, with_cell
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -53,7 +53,7 @@ def roc_auc(
     positive = F.count_if(F.col(label) == 1).alias("pos")
     negative = F.count_if(F.col(label) != 1).alias("neg")
     scores = df.groupBy(F.col(score).cast("double").alias("s")).agg(positive, negative)
-    cells = scores.withColumn(CELL, grid_cell(scores, F.col("s"), rows_per_cell))
+    cells = with_cell(scores, F.col("s"), rows_per_cell)
     below = W.partitionBy(CELL).orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     ranked = cells.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     won = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2)

@@ -18,8 +18,8 @@ ROWS_PER_CELL = 1_000_000
 CELL = "_cell"
 
 
-def grid_cell(df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CELL) -> Column:
-    """Cell number of each row on an even grid over the range of ``position``.
+def with_cell(df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
+    """Add each row's cell number on an even grid over the range of ``position``.
 
     Cells follow the order of ``position``; null positions share the cell after the last.
     """
@@ -34,9 +34,10 @@ def grid_cell(df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CEL
             F.greatest(F.ceil(F.col("n") / F.lit(rows_per_cell)), F.lit(1)).cast("bigint").alias("cells"),
         )
     ).scalar()
-    raw = F.floor(F.coalesce(F.try_divide(spot - grid["lo"], grid["span"]), F.lit(0.0)) * grid["cells"])
-    last = grid["cells"] - F.lit(1)
-    return F.when(position.isNull(), grid["cells"]).otherwise(F.least(raw, last)).cast("bigint")
+    g = F.col("_grid")
+    raw = F.floor(F.coalesce(F.try_divide(spot - g["lo"], g["span"]), F.lit(0.0)) * g["cells"])
+    cell = F.when(position.isNull(), g["cells"]).otherwise(F.least(raw, g["cells"] - F.lit(1)))
+    return df.withColumn("_grid", grid).withColumn(CELL, cell.cast("bigint")).drop("_grid")
 
 
 def with_previous(
@@ -54,7 +55,7 @@ def with_previous(
     dropped. Rows are ordered by ``order``, nulls last.
     """
     sources = {f"_src_{name}": column for name, column in values.items()}
-    cut = df.withColumns({CELL: grid_cell(df, position, rows_per_cell), **sources})
+    cut = with_cell(df, position, rows_per_cell).withColumns(sources)
     carried = [*order, *sources]
     sort_key = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
     lasts = cut.groupBy(*entity, CELL).agg(F.max_by(F.struct(*carried), sort_key).alias("_last"))
@@ -89,7 +90,7 @@ def with_position(
     re-aggregated by the same function over cells; they ride on the same summary.
     """
     extra_totals = extra_totals or {}
-    cut = df.withColumn(CELL, grid_cell(df, position, rows_per_cell))
+    cut = with_cell(df, position, rows_per_cell)
     cells = cut.groupBy(*entity, CELL).agg(
         F.count(F.lit(1)).alias("_rows"), *[agg.alias(name) for name, agg in extra_totals.items()]
     )

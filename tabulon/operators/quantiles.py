@@ -51,11 +51,16 @@ def _bracket(column: str, probabilities: Sequence[float], accuracy: int) -> Colu
 
 
 def quantile_brackets(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], gate: Column | None = None,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """(column, n, lo[], hi[]): one row per column, from a single scan."""
-    wide = df.agg(F.array(*[_bracket(c, probabilities, accuracy) for c in columns]).alias("b"))
-    return wide.select(F.inline("b"))
+    """(column, n, lo[], hi[]): one row per column, from a single scan.
+
+    ``gate`` is an aggregate condition on the whole table; while false there are no rows.
+    """
+    passed = F.lit(True) if gate is None else gate
+    wide = df.agg(F.array(*[_bracket(c, probabilities, accuracy) for c in columns]).alias("b"), passed.alias("ok"))
+    return wide.filter("ok").select(F.inline("b"))
 
 
 def resolve_quantiles(counts: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
@@ -122,16 +127,18 @@ def resolve_quantiles(counts: DataFrame, brackets: DataFrame, probabilities: Seq
     ).select("column", "n", F.col("pairs.q").alias("q"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(column, n, q[]) for every column that has values."""
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], gate: Column | None = None
+) -> DataFrame:
+    """(column, n, q[]) for every column that has values; see :func:`quantile_brackets` for ``gate``."""
     return resolve_quantiles(
-        long_values(df, columns), quantile_brackets(df, columns, probabilities), probabilities
+        long_values(df, columns), quantile_brackets(df, columns, probabilities, gate), probabilities
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], gate: Column | None = None) -> DataFrame:
     """(column, n, median)."""
-    return exact_quantiles(df, columns, [0.5]).select("column", "n", F.col("q")[0].alias("median"))
+    return exact_quantiles(df, columns, [0.5], gate).select("column", "n", F.col("q")[0].alias("median"))
 
 
 def modes(counts: DataFrame) -> DataFrame:

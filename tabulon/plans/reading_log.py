@@ -11,6 +11,7 @@ from tabulon.operators.flags import flag_board, flag_readings
 from tabulon.operators.ordering import chronological
 from tabulon.operators.overrides import apply_board_overrides, apply_reading_overrides, upsert_overrides
 from tabulon.schemas import BOARD_OVERRIDES, OFFICIAL, READING_OVERRIDES
+from tabulon.session import scratch_path
 from tabulon.sources.readers import read_or_empty
 from tabulon.sources.writers import write_csv, write_json, write_layer
 
@@ -33,10 +34,17 @@ def derive_log(
     board_overrides: DataFrame,
     official: DataFrame,
     notes_are_array: bool = True,
+    staging: str | None = None,
 ) -> DataFrame:
-    """Baseline, corrections, board, review flags; depends on raw columns only."""
+    """Baseline, corrections, board, review flags; depends on raw columns only.
+
+    Flagging reads the merged rows three times (bracket, median, flags). With
+    ``staging`` they are stored there first, so the joins run once.
+    """
     corrected = apply_reading_overrides(readings, reading_overrides)
     boarded = apply_board_overrides(corrected, official, board_overrides)
+    if staging:
+        boarded = write_layer(boarded, staging)
     return flag_board(flag_readings(boarded, notes_are_array))
 
 
@@ -55,6 +63,7 @@ def refresh(
         read_or_empty(spark, paths.board_overrides, BOARD_OVERRIDES),
         read_or_empty(spark, paths.official, OFFICIAL),
         notes_are_array,
+        scratch_path(spark, "merged"),
     )
     stored = write_layer(chronological(derived, "datetime_original", "filename"), paths.dataset)
     write_json(stored, paths.json_export)
