@@ -262,8 +262,9 @@ SELECT filename, CAST(day - lag(day) {w} AS BIGINT) AS days,
 
 
 def _lags(spark, folder, entity):
-    corrected = apply_reading_overrides(S.readings(spark, folder), S.overrides(spark, folder))
-    lagged = lag_features(corrected, entity=entity)
+    readings = S.readings(spark, folder)
+    corrected = apply_reading_overrides(readings, S.overrides(spark, folder))
+    lagged = lag_features(corrected, entity=entity, extent=readings)
     return lagged.select(
         "filename", F.col("days_since_previous_fill").cast("bigint").alias("days"),
         F.round("price_change_gtq", 6).alias("change"), F.round("price_change_pct", 4).alias("pct"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,10 +20,21 @@ def to_number(text: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def _shape(pattern: str) -> str:
+    """Regular expression of text that could match a date pattern of fixed width."""
+    return "^" + re.sub(r"[A-Za-z]", r"\\d", re.escape(pattern)) + "$"
+
+
 def to_date_any(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """First pattern that parses wins; null when none does."""
+    """First pattern that parses wins; null when none does.
+
+    A cheap look at the shape comes first: parsing only text that can succeed is
+    many times faster than recovering from failures.
+    """
     trimmed = F.trim(text.cast("string"))
-    parsed = [F.try_to_timestamp(trimmed, F.lit(p)).cast("date") for p in patterns]
+    parsed = [
+        F.when(trimmed.rlike(_shape(p)), F.try_to_timestamp(trimmed, F.lit(p)).cast("date")) for p in patterns
+    ]
     return reduce(lambda a, b: F.coalesce(a, b), parsed)
 
 

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 #: How a camera writes a moment, and how reports show it.
 CAMERA_PATTERN = "yyyy:MM:dd HH:mm:ss"
+CAMERA_SHAPE = r"^\d{4}:\d\d:\d\d \d\d:\d\d:\d\d$"
 SHOW_DATE = "dd MMM yyyy"
 SHOW_TIMESTAMP = "dd MMM yyyy, HH:mm"
 
 
 def exif_timestamp(stamp: Column) -> Column:
     """Camera stamp to timestamp; null when malformed."""
-    return F.try_to_timestamp(stamp, F.lit(CAMERA_PATTERN))
+    return F.when(stamp.rlike(CAMERA_SHAPE), F.try_to_timestamp(stamp, F.lit(CAMERA_PATTERN)))
 
 
 def day_of(stamp: Column) -> Column:
     """The calendar day of a camera stamp; only its first ten characters count."""
-    return F.try_to_timestamp(F.left(stamp, F.lit(10)), F.lit("yyyy:MM:dd")).cast("date")
+    return F.replace(F.left(stamp, F.lit(10)), F.lit(":"), F.lit("-")).try_cast("date")
 
 
 def iso_date(stamp: Column) -> Column:

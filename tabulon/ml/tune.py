@@ -125,7 +125,7 @@ def _fold_scores(
     try:
         with ThreadPool(min(parallelism, len(maps))) as pool:
             return pool.map(
-                inheritable_thread_target(
+                inheritable_thread_target(fit_vectors.sparkSession)(
                     lambda m: judge.evaluate(classifier.fit(fit_vectors, m).transform(held_vectors))
                 ),
                 maps,

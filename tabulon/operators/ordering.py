@@ -18,13 +18,16 @@ ROWS_PER_CELL = 1_000_000
 CELL = "_cell"
 
 
-def with_cell(df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
+def with_cell(
+    df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CELL, extent: DataFrame | None = None
+) -> DataFrame:
     """Add each row's cell number on an even grid over the range of ``position``.
 
     Cells follow the order of ``position``; null positions share the cell after the last.
+    ``extent`` is a cheaper table with the same positions to measure the range on.
     """
     spot = position.cast("double")
-    measured = df.agg(
+    measured = (df if extent is None else extent).agg(
         F.min(spot).alias("lo"), F.max(spot).alias("hi"), F.count(F.lit(1)).alias("n")
     )
     grid = measured.select(
@@ -36,7 +39,8 @@ def with_cell(df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CEL
     ).scalar()
     g = F.col("_grid")
     raw = F.floor(F.coalesce(F.try_divide(spot - g["lo"], g["span"]), F.lit(0.0)) * g["cells"])
-    cell = F.when(position.isNull(), g["cells"]).otherwise(F.least(raw, g["cells"] - F.lit(1)))
+    inside = F.greatest(F.lit(0), F.least(raw, g["cells"] - F.lit(1)))
+    cell = F.when(position.isNull(), g["cells"]).otherwise(inside)
     return df.withColumn("_grid", grid).withColumn(CELL, cell.cast("bigint")).drop("_grid")
 
 
@@ -47,6 +51,7 @@ def with_previous(
     position: Column,
     entity: Sequence[str] = (),
     rows_per_cell: int = ROWS_PER_CELL,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """Add, for each name, the value its expression had in the entity's previous row.
 
@@ -55,7 +60,7 @@ def with_previous(
     dropped. Rows are ordered by ``order``, nulls last.
     """
     sources = {f"_src_{name}": column for name, column in values.items()}
-    cut = with_cell(df, position, rows_per_cell).withColumns(sources)
+    cut = with_cell(df, position, rows_per_cell, extent).withColumns(sources)
     carried = [*order, *sources]
     sort_key = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
     lasts = cut.groupBy(*entity, CELL).agg(F.max_by(F.struct(*carried), sort_key).alias("_last"))

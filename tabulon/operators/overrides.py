@@ -95,11 +95,17 @@ def board_baseline(df: DataFrame, official: DataFrame) -> DataFrame:
     """
     joined = official_on_day(df, official, day_of(F.col("datetime_original")), found="_published")
     anchor = F.col("price_per_gallon_gtq")
+    others = [f for f in FUELS if f != ANCHOR_FUEL]
+    # Parsed and compared in steps of their own: each digit string is read once.
+    joined = joined.withColumns(
+        {f"_own_{f}": price_from_digits(clean_digits(F.col(f"price_{f}_raw"))) for f in others}
+    ).withColumns(
+        {f"_close_{f}": F.coalesce(within(F.col(f"_own_{f}"), anchor, BOARD_TOLERANCE), F.lit(False)) for f in others}
+    )
     prices, used = {f"price_{ANCHOR_FUEL}_gtq": anchor}, F.lit(False)
-    for fuel in [f for f in FUELS if f != ANCHOR_FUEL]:
-        own = price_from_digits(clean_digits(F.col(f"price_{fuel}_raw")))
-        close = F.coalesce(within(own, anchor, BOARD_TOLERANCE), F.lit(False))
-        price = F.when(close, own)
+    for fuel in others:
+        close = F.col(f"_close_{fuel}")
+        price = F.when(close, F.col(f"_own_{fuel}"))
         if fuel in OFFICIAL_COLUMN:
             fallback = ~close & F.col("_published")
             price = price.when(fallback, F.col(OFFICIAL_COLUMN[fuel]))
@@ -109,7 +115,8 @@ def board_baseline(df: DataFrame, official: DataFrame) -> DataFrame:
         F.when(used, F.lit(BOARD_OFFICIAL)).when(anchor.isNotNull(), F.lit(BOARD_AUTO)).otherwise(F.lit(BOARD_OPEN))
     )
     filled = joined.withColumns({**prices, "board_data_source": origin, "board_override_note": F.lit("")})
-    return filled.drop("_published", *OFFICIAL_PRICES)
+    steps = [f"{step}_{f}" for step in ("_own", "_close") for f in others]
+    return filled.drop("_published", *steps, *OFFICIAL_PRICES)
 
 
 def apply_board_overrides(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 1_000
 # The sketch promises rank error 1/accuracy; brackets are four times that wide.
 _MARGIN = 4.0
+_MIN_BRACKETED = 10_000
 _SLOTS = 1024
 
 
@@ -45,8 +46,10 @@ def _bracket(column: str, probabilities: Sequence[float], accuracy: int) -> Colu
     highs = [min(1.0, p + slack) for p in probabilities]
     sketch = F.percentile_approx(x, lows + highs, accuracy)
     k = len(probabilities)
-    lo = F.array(*[F.min(x) if lows[i] == 0.0 else sketch[i] for i in range(k)])
-    hi = F.array(*[F.max(x) if highs[i] == 1.0 else sketch[k + i] for i in range(k)])
+    # Few values need no bracket, and the margin has to outweigh single ranks.
+    few = F.count(x) < _MIN_BRACKETED
+    lo = F.array(*[F.min(x) if lows[i] == 0.0 else F.when(few, F.min(x)).otherwise(sketch[i]) for i in range(k)])
+    hi = F.array(*[F.max(x) if highs[i] == 1.0 else F.when(few, F.max(x)).otherwise(sketch[k + i]) for i in range(k)])
     return F.struct(F.lit(column).alias("column"), F.count(x).alias("n"), lo.alias("lo"), hi.alias("hi"))
 
 

@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode: rather split such stages.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
