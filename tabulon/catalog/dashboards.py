@@ -79,7 +79,7 @@ SELECT filename, user_id, position, round(axis_low, 6) AS axis_low, round(axis_h
 
 
 def _chart(spark, folder):
-    return B.chart_series(_corrected(spark, folder), ["user_id"])
+    return B.chart_series(_corrected(spark, folder), ["user_id"], extent=S.readings(spark, folder))
 
 
 @query(_CHART_SQL)

@@ -28,8 +28,12 @@ from tabulon.sources.writers import write_layer
 SELECT filename, total_gtq, price_per_gallon_gtq, parse_ok, data_source, review_reason,
        review_reason <> '' AS needs_review FROM flagged""")
 def flag_outliers(spark, folder):
-    corrected = apply_reading_overrides(S.readings(spark, folder), S.overrides(spark, folder))
-    return flag_readings(corrected).select(
+    """Corrections are merged once and stored; the median and the flags restart from there."""
+    corrected = apply_reading_overrides(S.readings(spark, folder), S.overrides(spark, folder)).select(
+        "filename", "total_gtq", "price_per_gallon_gtq", "parse_ok", "data_source", "notes"
+    )
+    stored = write_layer(corrected, scratch_path(spark, "merged"))
+    return flag_readings(stored).select(
         "filename", "total_gtq", "price_per_gallon_gtq", "parse_ok", "data_source", "review_reason", "needs_review"
     )
 

@@ -76,6 +76,7 @@ def latest_confirmed_board(df: DataFrame, entity: Sequence[str] = ()) -> DataFra
 def chart_series(
     df: DataFrame, entity: Sequence[str] = (), order: Sequence[str] = ("datetime_original", "filename"),
     position: Column | None = None, value: str = "price_per_gallon_gtq", rows_per_cell: int = ROWS_PER_CELL,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """Each valid row's place in its chart: position, axis domain and coordinates in [0, 1].
 
@@ -85,7 +86,8 @@ def chart_series(
     valid = df.filter(F.col("parse_ok"))
     where = F.unix_micros(exif_timestamp(F.col("datetime_original"))) if position is None else position
     placed = with_position(
-        valid, order, where, entity, rows_per_cell, {"min_value": F.min(value), "max_value": F.max(value)}
+        valid, order, where, entity, rows_per_cell, {"min_value": F.min(value), "max_value": F.max(value)},
+        extent,
     ).filter(F.col("series_rows") >= 2)
     pad = F.greatest((F.col("max_value") - F.col("min_value")) * AXIS_PAD_SHARE, F.lit(AXIS_PAD_MIN))
     low, high = F.col("min_value") - pad, F.col("max_value") + pad

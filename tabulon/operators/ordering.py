@@ -88,6 +88,7 @@ def with_position(
     entity: Sequence[str] = (),
     rows_per_cell: int = ROWS_PER_CELL,
     extra_totals: dict[str, Column] | None = None,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``position`` (from 0) and ``series_rows`` per entity, plus entity-wide totals.
 
@@ -95,7 +96,7 @@ def with_position(
     re-aggregated by the same function over cells; they ride on the same summary.
     """
     extra_totals = extra_totals or {}
-    cut = with_cell(df, position, rows_per_cell)
+    cut = with_cell(df, position, rows_per_cell, extent)
     cells = cut.groupBy(*entity, CELL).agg(
         F.count(F.lit(1)).alias("_rows"), *[agg.alias(name) for name, agg in extra_totals.items()]
     )

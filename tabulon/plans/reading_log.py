@@ -5,16 +5,27 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabulon.operators.clean import clean_official
 from tabulon.operators.features import public_export
 from tabulon.operators.flags import flag_board, flag_readings
 from tabulon.operators.ordering import chronological
 from tabulon.operators.overrides import apply_board_overrides, apply_reading_overrides, upsert_overrides
 from tabulon.schemas import BOARD_OVERRIDES, OFFICIAL, READING_OVERRIDES
 from tabulon.session import scratch_path
-from tabulon.sources.readers import read_or_empty
+from tabulon.sources.readers import read_or_empty, read_published_sheet
 from tabulon.sources.writers import write_csv, write_json, write_layer
 
+#: Headers of the published sheet and the columns they become.
+SHEET_COLUMNS = {
+    "FECHA": "date",
+    "Tipo de Cambio": "exchange_rate_usd_gtq",
+    "Gasolina Superior": "official_super_gtq",
+    "Gasolina Regular": "official_regular_gtq",
+    "Aceite Combustible Diésel": "official_diesel_gtq",
+}
+
 
 @dataclass(frozen=True)
 class ReadingLogPaths:
@@ -73,6 +84,14 @@ def refresh(
     return stored
 
 
+def publish_official(spark: SparkSession, sheet: str, target: str) -> DataFrame:
+    """Clean one exported price sheet into the reference table; later lines of a day win."""
+    cells = read_published_sheet(spark, sheet, SHEET_COLUMNS)
+    line = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    write_csv(clean_official(cells, line), target)
+    return read_or_empty(spark, target, OFFICIAL)
+
+
 def save_override(spark: SparkSession, new_rows: DataFrame, current: str, target: str, board: bool = False) -> DataFrame:
     """Upsert corrections and write the whole table to a new path.
 

@@ -176,3 +176,13 @@ def test_metrics_equal_brute_force(spark, rows_per_cell):
 def test_metrics_without_positives(spark):
     df = spark.createDataFrame([(0, 0, 0.1), (0, 0, 0.2)], "label int, prediction int, score double")
     assert M.evaluate(df).first().asDict() == {"accuracy": 1.0, "precision": 0.0, "recall": 0.0, "f1": 0.0, "roc_auc": None}
+
+
+def test_command_line_jobs(spark, churn_csv, tmp_path):
+    from tabulon.jobs import main
+
+    main(["bronze", churn_csv, f"{tmp_path}/bronze"])
+    main(["silver", f"{tmp_path}/bronze", f"{tmp_path}/silver"])
+    assert spark.read.parquet(f"{tmp_path}/silver").count() == 240
+    with pytest.raises(SystemExit):
+        main(["unknown"])

@@ -10,7 +10,7 @@ from tabulon.operators.flags import flag_board, flag_readings, review_queue
 from tabulon.operators.overrides import (
     apply_board_overrides, apply_reading_overrides, latest_overrides, reading_baseline, split_valid, upsert_overrides,
 )
-from tabulon.plans.reading_log import ReadingLogPaths, derive_log, refresh, save_override
+from tabulon.plans.reading_log import ReadingLogPaths, derive_log, publish_official, refresh, save_override
 from tabulon.schemas import BOARD_OVERRIDES, OFFICIAL, READING_OVERRIDES, READINGS
 from tabulon.sources import write_csv
 
@@ -152,6 +152,16 @@ def test_flag_rules(spark):
     assert review_queue(few).count() == 2
 
 
+def test_publish_official(spark, tmp_path):
+    sheet = tmp_path / "sheet.csv"
+    sheet.write_text(
+        "Precios,,,,\nFECHA, Tipo de Cambio ,Gasolina Superior,Gasolina Regular,Aceite Combustible Diésel\n"
+        "Unidades:,,GTQ,GTQ,GTQ\n2026-07-09,7.6,1,2,3\n2026-07-09,7.7,4,5,6\n2020-01-01,7,1,1,1\n"
+    )
+    rows = publish_official(spark, str(sheet), str(tmp_path / "out")).collect()
+    assert [(str(r["date"]), r["exchange_rate_usd_gtq"], r["official_diesel_gtq"]) for r in rows] == [("2026-07-09", 7.7, 6.0)]
+
+
 def test_refresh_is_idempotent_and_overrides_persist(spark, tmp_path):
     def paths(run):
         return ReadingLogPaths(*[str(tmp_path / p) for p in ("ov", "none", "ref", f"data{run}", f"json{run}", f"pub{run}")])
