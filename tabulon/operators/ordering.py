@@ -1,9 +1,9 @@
 """Row order without one task per entity.
 
 A window partitioned by entity puts a hot entity into a single task. Here every
-ordered operator first cuts the order axis into grid cells holding about
-``rows_per_cell`` rows each and works per (entity, cell); what has to cross a
-cell border travels in a per-cell summary whose size is rows / rows_per_cell.
+entity of more than ``rows_per_cell`` rows is cut into cells along the order axis,
+and windows run per (entity, cell); smaller entities stay whole. What has to cross
+a cell border travels in a per-cell summary of at most rows / rows_per_cell rows.
 """
 
 from __future__ import annotations
@@ -16,32 +16,48 @@ from pyspark.sql import functions as F
 
 ROWS_PER_CELL = 1_000_000
 CELL = "_cell"
+_CUT = "_cut"
+
+
+def _grid(n: Column, lo: Column, hi: Column, rows_per_cell: int) -> Column:
+    return F.struct(
+        F.coalesce(lo, F.lit(0.0)).alias("lo"),
+        F.coalesce(hi - lo, F.lit(0.0)).alias("span"),
+        F.greatest(F.ceil(n / F.lit(rows_per_cell)), F.lit(1)).cast("bigint").alias("cells"),
+    )
 
 
 def with_cell(
-    df: DataFrame, position: Column, rows_per_cell: int = ROWS_PER_CELL, extent: DataFrame | None = None
+    df: DataFrame,
+    position: Column,
+    rows_per_cell: int = ROWS_PER_CELL,
+    extent: DataFrame | None = None,
+    entity: Sequence[str] = (),
 ) -> DataFrame:
-    """Add each row's cell number on an even grid over the range of ``position``.
+    """Add each row's cell number, and whether its entity is cut into several cells.
 
-    Cells follow the order of ``position``; null positions share the cell after the last.
-    ``extent`` is a cheaper table with the same positions to measure the range on.
+    Cells follow the order of ``position`` on an even grid over the entity's own
+    range (the whole table's without ``entity``); null positions share the cell after
+    the last. ``extent`` is a cheaper table with the same entities and positions to
+    measure on.
     """
     spot = position.cast("double")
-    measured = (df if extent is None else extent).agg(
-        F.min(spot).alias("lo"), F.max(spot).alias("hi"), F.count(F.lit(1)).alias("n")
-    )
-    grid = measured.select(
-        F.struct(
-            F.coalesce("lo", F.lit(0.0)).alias("lo"),
-            F.coalesce(F.col("hi") - F.col("lo"), F.lit(0.0)).alias("span"),
-            F.greatest(F.ceil(F.col("n") / F.lit(rows_per_cell)), F.lit(1)).cast("bigint").alias("cells"),
-        )
-    ).scalar()
+    source = df if extent is None else extent
+    sizes = [F.count(F.lit(1)).alias("_n"), F.min(spot).alias("_lo"), F.max(spot).alias("_hi")]
+    grid = _grid(F.col("_n"), F.col("_lo"), F.col("_hi"), rows_per_cell).alias("_grid")
+    if entity:
+        measured = source.groupBy(*entity).agg(*sizes).filter(F.col("_n") > rows_per_cell)
+        hot = measured.select(*[F.col(e).alias(f"_hot_{e}") for e in entity], grid)
+        same = [F.col(e).eqNullSafe(F.col(f"_hot_{e}")) for e in entity]
+        # Entities above rows_per_cell number at most rows / rows_per_cell: a bounded table.
+        gridded = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{e}" for e in entity])
+    else:
+        gridded = df.withColumn("_grid", source.agg(*sizes).select(grid).scalar())
     g = F.col("_grid")
     raw = F.floor(F.coalesce(F.try_divide(spot - g["lo"], g["span"]), F.lit(0.0)) * g["cells"])
     inside = F.greatest(F.lit(0), F.least(raw, g["cells"] - F.lit(1)))
-    cell = F.when(position.isNull(), g["cells"]).otherwise(inside)
-    return df.withColumn("_grid", grid).withColumn(CELL, cell.cast("bigint")).drop("_grid")
+    cell = F.when(g.isNull(), F.lit(0)).when(position.isNull(), g["cells"]).otherwise(inside)
+    return gridded.withColumns({CELL: cell.cast("bigint"), _CUT: g.isNotNull()}).drop("_grid")
 
 
 def with_previous(
@@ -60,17 +76,17 @@ def with_previous(
     dropped. Rows are ordered by ``order``, nulls last.
     """
     sources = {f"_src_{name}": column for name, column in values.items()}
-    cut = with_cell(df, position, rows_per_cell, extent).withColumns(sources)
+    cut = with_cell(df, position, rows_per_cell, extent, entity).withColumns(sources)
     carried = [*order, *sources]
     sort_key = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
-    lasts = cut.groupBy(*entity, CELL).agg(F.max_by(F.struct(*carried), sort_key).alias("_last"))
+    lasts = cut.filter(_CUT).groupBy(*entity, CELL).agg(F.max_by(F.struct(*carried), sort_key).alias("_last"))
     across = W.partitionBy(*entity).orderBy(CELL)
     carries = (
         lasts.withColumn(CELL, F.lead(CELL).over(across))
         .filter(F.col(CELL).isNotNull())
         .select(*entity, CELL, "_last.*", F.lit(True).alias("_carry"))
     )
-    both = cut.withColumn("_carry", F.lit(False)).unionByName(carries, allowMissingColumns=True)
+    both = cut.drop(_CUT).withColumn("_carry", F.lit(False)).unionByName(carries, allowMissingColumns=True)
     inside = W.partitionBy(*entity, CELL).orderBy(
         F.col("_carry").desc(), *[F.col(c).asc_nulls_last() for c in order]
     )
@@ -96,25 +112,28 @@ def with_position(
     re-aggregated by the same function over cells; they ride on the same summary.
     """
     extra_totals = extra_totals or {}
-    cut = with_cell(df, position, rows_per_cell, extent)
+    cut = with_cell(df, position, rows_per_cell, extent, entity).drop(_CUT)
     cells = cut.groupBy(*entity, CELL).agg(
         F.count(F.lit(1)).alias("_rows"), *[agg.alias(name) for name, agg in extra_totals.items()]
     )
     before = W.partitionBy(*entity).orderBy(CELL).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*entity)
     offsets = cells.select(
-        *entity,
-        CELL,
+        *[F.col(e).alias(f"_of_{e}") for e in entity],
+        F.col(CELL).alias("_of_cell"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(whole).alias("series_rows"),
         *[_reaggregate(name).over(whole).alias(name) for name in extra_totals],
     )
     inside = W.partitionBy(*entity, CELL).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    same = F.col(CELL) == F.col("_of_cell")
+    for e in entity:
+        same = same & F.col(e).eqNullSafe(F.col(f"_of_{e}"))
     return (
         cut.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, [*entity, CELL])
+        .join(offsets, same)
         .withColumn("position", F.col("_before") + F.col("_local") - 1)
-        .drop(CELL, "_local", "_before")
+        .drop(CELL, "_local", "_before", "_of_cell", *[f"_of_{e}" for e in entity])
     )
 
 

@@ -18,7 +18,7 @@ def log_rows(seed=5, n=400):
     rng = random.Random(seed)
     rows = []
     for i in range(n):
-        entity = "hot" if rng.random() < 0.7 else rng.choice("abc")
+        entity = "hot" if rng.random() < 0.7 else rng.choice(["a", "b", None])
         at = None if rng.random() < 0.05 else rng.choice([rng.randint(0, 50), rng.randint(0, 10**6)])
         rows.append((entity, at, i, rng.choice([None, float(i)])))
     return rows
