@@ -142,13 +142,13 @@ def board_sources(spark, folder):
 
 _PLACES_SQL = """
 WITH spots AS (
-  SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0 ELSE 10 + c_nationkey * 0.5 + c_acctbal / 1e9 END AS lat,
-         -90 + c_nationkey * 0.25 AS lon FROM customer),
+  SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0 ELSE 10 + c_nationkey * 0.5::DOUBLE + c_acctbal / 1e9 END AS lat,
+         -90 + c_nationkey * 0.25::DOUBLE AS lon FROM customer),
 keyed AS (
   SELECT c_custkey, CASE WHEN lat <> 0 AND lon <> 0 THEN round(lat, 4) END AS lat4,
          CASE WHEN lat <> 0 AND lon <> 0 THEN round(lon, 4) END AS lon4 FROM spots),
 places AS (
-  SELECT round(10 + n_nationkey * 0.5, 4) AS lat4, round(-90 + n_nationkey * 0.25, 4) AS lon4, n_name,
+  SELECT round(10 + n_nationkey * 0.5::DOUBLE, 4) AS lat4, round(-90 + n_nationkey * 0.25::DOUBLE, 4) AS lon4, n_name,
     coalesce(nullif(CASE WHEN n_regionkey = 0 THEN '' ELSE n_name END, ''),
              nullif(CASE WHEN n_regionkey = 0 THEN r_name END, ''), 'village') AS city
   FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 2)"""

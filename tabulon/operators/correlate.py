@@ -42,8 +42,8 @@ def _correlate(df: DataFrame, left: list[str], right: list[str]) -> DataFrame:
     only those matrices are shuffled.
     """
     columns = list(dict.fromkeys([*left, *right]))
-    means = column_means(df, columns)
-    centred = df.select(*[(number(c) - means[F.lit(c)]).alias(c) for c in columns])
+    measured = df.select(*[number(c).alias(c) for c in columns]).withColumn("_means", column_means(df, columns))
+    centred = measured.select(*[(F.col(f"`{c}`") - F.col("_means")[F.lit(c)]).alias(c) for c in columns])
     schema = "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS)
     sums = centred.mapInPandas(_co_sums(left, right), schema).groupBy("i", "j").agg(
         *[F.sum(s).alias(s) for s in _SUMS]

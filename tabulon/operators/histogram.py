@@ -22,14 +22,15 @@ def histogram(df: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame
         F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
         F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
     )).scalar()
-    width = (span["hi"] - span["lo"]) / F.lit(float(bins))
+    s = F.col("_span")
+    width = (s["hi"] - s["lo"]) / F.lit(float(bins))
 
     def edge(i):
-        return span["lo"] + i * width
+        return s["lo"] + i * width
 
-    guess = F.least(F.floor((F.col("x") - span["lo"]) / (span["hi"] - span["lo"]) * bins), F.lit(bins - 1))
+    guess = F.least(F.floor((F.col("x") - s["lo"]) / (s["hi"] - s["lo"]) * bins), F.lit(bins - 1))
     placed = (
-        present.withColumn("g", guess)
+        present.withColumn("_span", span).withColumn("g", guess)
         .select((
             F.col("g")
             - F.when((F.col("x") < edge(F.col("g"))) & (F.col("g") > 0), 1).otherwise(0)
@@ -38,7 +39,7 @@ def histogram(df: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame
         .groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     )
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(placed, "bin", "left").select(
+    return all_bins.join(placed, "bin", "left").withColumn("_span", span).select(
         "bin", edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
     )
