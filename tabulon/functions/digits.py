@@ -18,7 +18,8 @@ def digits_only(text: Column) -> Column:
 
 def clean_digits(raw: Column) -> Column:
     """Digits of a raw reading; null gives '', a round-tripped ``3938.0`` gives ``3938``."""
-    return digits_only(F.coalesce(F.regexp_replace(raw, r"^\s*(-?\d+)\.0+\s*$", "$1"), F.lit("")))
+    whole = F.when(raw.contains("."), F.regexp_replace(raw, r"^\s*(-?\d+)\.0+\s*$", "$1")).otherwise(raw)
+    return digits_only(F.coalesce(whole, F.lit("")))
 
 
 def _scaled(digits: Column, long_enough: Column, scale: int) -> Column:
