@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import Words, chunks, mix, powers, run_hashes, stage
 
 WINDOW = 35
-MINIMISER = 6
+MINIMISER = 4
 HOT_RUNS = 5_000
 RUNS_PER_BUCKET = 15_000
+COMPRESSION_LEVEL = 6
 _BASE_A, _BASE_B, _BASE_M = 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
@@ -81,7 +82,8 @@ def send_runs(texts: DataFrame, hot: np.ndarray, buckets: int, window: int, m: i
     their first words. Runs of hot minimisers are left out.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, 4_000_000):
+        codec = pa.Codec("zstd", compression_level=COMPRESSION_LEVEL)
+        for part in chunks(batches, 8_000_000):
             words = Words(part["text"])
             runs = Runs(words, window, m)
             cold = ~np.isin(runs.key, hot) if len(hot) else np.ones(len(runs.key), dtype=bool)
@@ -101,7 +103,7 @@ def send_runs(texts: DataFrame, hot: np.ndarray, buckets: int, window: int, m: i
             at = (first[order] - doc_first[doc]).astype("<i4")
             for a, b in zip([0, *cuts], [*cuts, len(order)]):
                 lines = b"\n".join(b" ".join(data[s:e].split()) for s, e in zip(start[a:b].tolist(), end[a:b].tolist()))
-                out.append((int(bucket[order[a]]), pa.compress(lines, "zstd", asbytes=True), len(lines),
+                out.append((int(bucket[order[a]]), codec.compress(lines, asbytes=True), len(lines),
                             b"".join(ids[d] for d in doc[a:b]), at[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()),
@@ -228,10 +230,13 @@ def repeated_passages(texts: DataFrame, window: int = WINDOW, m: int = MINIMISER
     buckets, and minimisers with more than ``hot_runs`` runs (or a ten-thousandth
     of all runs, so there are at most 10,000 of them) are counted window by window.
     """
-    counts = stage(count_runs(texts, window, m), "run-counts")
+    # Keys below the bar at any size are only needed as a sum.
+    counts = count_runs(texts, window, m).groupBy(F.when(F.col("n") > hot_runs, F.col("key")).alias("key")).agg(F.sum("n").alias("n"))
+    counts = stage(counts, "run-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bar = max(hot_runs, total // 10_000)
-    hot = np.array(sorted(r["key"] for r in counts.filter(F.col("n") > bar).select("key").collect()), dtype=np.int64)
+    busy = counts.filter(F.col("key").isNotNull() & (F.col("n") > bar))
+    hot = np.array(sorted(r["key"] for r in busy.select("key").collect()), dtype=np.int64)
     found = judge_buckets(send_runs(texts, hot, max(1, math.ceil(total / runs_per_bucket)), window, m), window)
     if len(hot):
         found = found.unionByName(hot_windows(texts, hot, window, m))
