@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tabulon.llm.common import Words, chunks, components, mix, run_hashes, stage
+from tabulon.llm.common import Words, chunks, components, mix, run_hashes, stage, stage_twice
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -148,18 +148,89 @@ def verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFr
         F.col("_s") >= F.lit(similarity) * (F.size("_a") + F.size("_b") - F.col("_s"))).select("a", "b")
 
 
+def with_bounds(members: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """Members (``bucket``, ``bag``) that can be alike to any other of their bucket, with ``unshared``.
+
+    Shingles that no other candidate has can't be part of any overlap. With n
+    shingles, u of them unshared, and others of at least ``low`` shingles, the
+    similarity is at most (n - u) / (max(low, n - u) + u). Who stays below is compared with nobody.
+    """
+    each = shingles.select(F.xxhash64("bag").alias("_h"), F.explode("shingles").alias("_s"))
+    single = each.groupBy("_s").agg(F.count("*").alias("_c"), F.min("_h").alias("_h")).filter("_c = 1")
+    unshared = single.groupBy("_h").agg(F.count("*").alias("_u"))
+    facts = shingles.select("bag", F.xxhash64("bag").alias("_h"), F.size("shingles").alias("_n"))
+    facts = facts.withColumn("_twins", F.count("*").over(W.partitionBy("_h"))).join(unshared, "_h", "left")
+    facts = facts.select("bag", "_n", F.when(F.col("_twins") == 1, F.coalesce("_u", F.lit(0))).otherwise(0).alias("unshared"))
+    known = members.join(facts, "bag")
+    low = known.groupBy("bucket").agg(F.min("_n").alias("_low"))
+    rest = F.col("_n") - F.col("unshared")
+    return known.join(low, "bucket").filter(
+        rest >= F.lit(similarity) * (F.greatest("_low", rest) + F.col("unshared"))).select("bucket", "bag", "unshared")
+
+
+def block_links(members: DataFrame, shingles: DataFrame, similarity: float, block_rows: int = 1024) -> DataFrame:
+    """Links (``a``, ``b``) between members (``bucket``, ``bag``, ``root``) of a bucket that aren't of one component.
+
+    Who is not of a bucket's largest component is compared with the whole
+    bucket, block against block; only links leave a block, never its pairs.
+    """
+    per = members.groupBy("bucket", "root").agg(F.count("*").alias("_c"))
+    per = per.groupBy("bucket").agg(F.sum("_c").alias("_all"), F.max("_c").alias("_most"), F.max_by("root", F.struct("_c", "root")).alias("_main"))
+    blocks = per.select("bucket", "_main", F.ceil(F.col("_all") / block_rows).cast("int").alias("_nj"),
+                        F.ceil((F.col("_all") - F.col("_most")) / block_rows).cast("int").alias("_ni"))
+    full = members.join(blocks, "bucket").join(shingles, "bag").withColumn("_h", F.xxhash64("bag"))
+    left, right = stage_twice(full, "near-blocks")
+    left = left.filter("root <> _main").withColumn("i", F.pmod("_h", "_ni").cast("int"))
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("_nj") - 1)))
+    right = right.withColumn("j", F.pmod("_h", "_nj").cast("int"))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_ni") - 1)))
+    columns = ["bucket", "i", "j", "bag", "root", "shingles"]
+
+    def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        lists = table["shingles"].combine_chunks()
+        return lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            mine, n_mine = flat(left)
+            theirs, n_theirs = flat(right)
+            vocabulary, code = np.unique(mine, return_inverse=True)
+            at = np.minimum(np.searchsorted(vocabulary, theirs), len(vocabulary) - 1)
+            at = np.where(vocabulary[at] == theirs, at, len(vocabulary))
+            starts, ends = np.cumsum(n_theirs) - n_theirs, np.cumsum(n_mine)
+            bags, roots = right["bag"].to_pylist(), np.array(right["root"].to_pylist(), dtype=object)
+            for row, (bag, root) in enumerate(zip(left["bag"].to_pylist(), left["root"].to_pylist())):
+                has = np.zeros(len(vocabulary) + 1, dtype=np.int32)
+                has[code[ends[row] - n_mine[row]:ends[row]]] = 1
+                shared = np.add.reduceat(has[at], starts)
+                alike = shared >= similarity * (n_mine[row] + n_theirs - shared)
+                hits = np.flatnonzero(alike & (roots != root))
+                # One link to a component is as good as all of them.
+                for k in {roots[h]: h for h in hits[::-1].tolist()}.values():
+                    a.append(bag)
+                    b.append(bags[k])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    found = left.select(*columns).groupBy("bucket", "i", "j").cogroup(
+        right.select(*columns).groupBy("bucket", "i", "j")).applyInArrow(compare, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
-                    rows_per_band: int = ROWS_PER_BAND) -> DataFrame:
+                    rows_per_band: int = ROWS_PER_BAND, pivots: tuple[int, ...] = (1, 4)) -> DataFrame:
     """Classes of near-duplicates among ``docs`` (``doc_id``, ``text``): (``doc_id``, ``content``, ``class``) per row.
 
     Rows with the same bag of shingles are one node. Nodes that share a bucket
-    are candidates. Within a bucket, instead of all pairs, a few pivots (the
-    smallest keys) are compared with the members that aren't in their component
+    are candidates. Nodes whose unshared shingles rule out any link leave first.
+    Then, instead of all pairs of a bucket, a few pivots (those with the fewest
+    unshared shingles) are compared with the members that aren't in their component
     yet; verified links join components; pivots that have met everyone leave the
-    bucket; and a bucket whose members are one component is done. Rounds go on
-    with four times as many pivots until no bucket is left, so two candidates that
-    are not in one class have been compared: no link that could join classes is
-    lost, and a group of thousands of copies costs about one comparison a member.
+    bucket; and a bucket whose members are one component is done. After the
+    rounds of ``pivots``, what a bucket still has outside its largest component
+    meets the whole bucket in blocks. So two candidates that are not in one class
+    have been compared, and no link that could join classes is lost, while a
+    group of thousands of copies mostly costs a comparison a member.
 
     ``class`` is null for rows whose text has no words (or is null): they are
     like no other row. ``content`` is the text's MD5.
@@ -172,15 +243,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     members = stage(rows.join(crowded, "bucket"), "near-members")
     wanted = members.select("bag").distinct().join(nodes.groupBy("bag").agg(F.min("content").alias("content")), "bag")
     shingles = stage(bag_shingles(docs, wanted), "near-shingles")
+    alone = stage(with_bounds(members, shingles, similarity).withColumn("root", F.col("bag")), "near-members")
 
-    links = stage(members.select(F.col("bag").alias("a"), F.col("bag").alias("b")).limit(0), "near-links")
+    links = alone.select(F.col("bag").alias("a"), F.col("bag").alias("b")).limit(0)
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    alone = members.withColumn("root", F.col("bag"))
-    pivots = 1
-    while not alone.isEmpty():
-        rank = F.row_number().over(W.partitionBy("bucket").orderBy("bag"))
-        chosen = stage(alone.select("bucket", "bag", "root").withColumn("_n", rank).filter(F.col("_n") <= pivots).drop("_n"),
-                       "near-pivots")
+    for most in pivots:
+        rank = F.row_number().over(W.partitionBy("bucket").orderBy("unshared", "bag"))
+        chosen = stage(alone.withColumn("_n", rank).filter(F.col("_n") <= most).select("bucket", "bag", "root"), "near-pivots")
         centre = chosen.select("bucket", F.col("bag").alias("_p"), F.col("root").alias("_pr"))
         pairs = alone.join(centre, "bucket").filter("root <> _pr").select(
             F.least("bag", "_p").alias("a"), F.greatest("bag", "_p").alias("b")).distinct()
@@ -191,6 +260,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         rest = stage(rest, "near-rest")
         split = rest.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b")
         alone = stage(rest.join(split.select("bucket"), "bucket"), "near-members")
-        pivots *= 4
+    if not alone.isEmpty():
+        last = block_links(alone.select("bucket", "bag", "root"), shingles, similarity)
+        roots = components(links.unionByName(last), "near-components")
     found = signed.drop("buckets").join(roots.withColumnRenamed("node", "bag"), "bag", "left")
     return found.select("doc_id", "content", F.coalesce("root", "bag").alias("class"))

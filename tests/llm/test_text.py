@@ -116,6 +116,15 @@ def test_near_duplicate_classes_match_all_pairs(spark, copies, tmp_path):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_blocks_find_every_link(spark, copies):
+    df = spark.createDataFrame(copies, "doc_id long, text string")
+    found = {r["doc_id"]: r["class"] for r in minhash.near_duplicates(df, pivots=()).collect()}
+    for g in plain_classes([r for r in copies if r[1]]):
+        ids = {[r for r in copies if r[1]][i][0] for i in g}
+        assert len({bytes(found[i]) for i in ids}) == 1
+    assert len({bytes(c) for c in found.values() if c}) == len(plain_classes([r for r in copies if r[1]]))
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = random.Random(3)
     for share in (0.3, 0.6, 0.9):
