@@ -121,7 +121,7 @@ SELECT filename, strftime(ts, '%d %b %Y, %H:%M') AS shown_at,
   strftime(ts, '%d %b %Y, %H:%M') || ' — ' || filename || CASE WHEN p <> '' THEN ' · ⚠️ falta ' || p ELSE '' END AS label,
   override_note AS note FROM r""")
 def display_rows(spark, folder):
-    return newest_first(B.display_rows(derived_log(spark, folder)), "shown_at", "filename")
+    return B.display_rows(newest_first(derived_log(spark, folder), "datetime_original", "filename"))
 
 
 @query("""

@@ -8,7 +8,7 @@ from tabulon.catalog.registry import query, table
 from tabulon.operators import describe as D
 from tabulon.operators.correlate import correlation_matrix, correlation_with
 from tabulon.operators.histogram import histogram as equal_width
-from tabulon.operators.quality import class_rate, quality_report, type_breakdown, value_balance
+from tabulon.operators.quality import class_rate, quality_report, value_balance
 from tabulon.operators.quantiles import exact_quantiles
 from tabulon.operators.select import stack
 
@@ -113,14 +113,6 @@ def dq_report(spark, folder):
     return stack(docs, lines)
 
 
-@query("""
-SELECT lower(CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-       ELSE data_type END) AS type, count(*) AS columns
-FROM (SELECT column_type AS data_type FROM (DESCRIBE SELECT * FROM lineitem)) GROUP BY ALL""")
-def column_types(spark, folder):
-    return type_breakdown(table(spark, folder, "lineitem"))
-
-
 @query("""
 WITH c(event_type) AS (VALUES ('click'), ('view'), ('purchase'), ('refund')),
 n AS (SELECT event_type, count(*) AS n FROM events JOIN c USING (event_type) GROUP BY event_type)

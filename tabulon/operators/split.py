@@ -43,9 +43,10 @@ def _bucket_offsets(rows: DataFrame, label: str) -> DataFrame:
 def class_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
     """Test rows per class: ceil(test_size * n) in all, shared out by largest remainder.
 
-    Ties between remainders go to the smaller class label.
+    Ties between remainders go to the smaller class label. Rows without a label have no class and no share.
     """
-    classes = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("n"))
+    known = df.filter(F.col(label).isNotNull())
+    classes = known.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("n"))
     # One row per class from here on.
     everything = W.partitionBy(F.lit(0))
     total = F.sum("n").over(everything)
@@ -63,8 +64,8 @@ def class_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
 def stratified_split(
     df: DataFrame, label: str, key: Sequence[str], test_size: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Add ``split``: 'test' for exactly the quota of each class, 'train' for the rest."""
-    rows = _bucketed(df, label, key, seed)
+    """Add ``split``: 'test' for exactly the quota of each class, 'train' for the rest, null where the label is null."""
+    rows = _bucketed(df.filter(F.col(label).isNotNull()), label, key, seed)
     quotas = class_quotas(df, label, test_size)
     room = F.col("_quota") - F.col("_before")
     edges = (
@@ -84,20 +85,22 @@ def stratified_split(
         F.row_number().over(W.partitionBy("_class", "_bucket").orderBy("_order", *key)) <= F.col("_take"),
     )
     out = settled.unionByName(border)
-    return out.withColumn("split", F.when(F.col("_in_test"), F.lit("test")).otherwise(F.lit("train"))).select(
+    split = out.withColumn("split", F.when(F.col("_in_test"), F.lit("test")).otherwise(F.lit("train"))).select(
         *df.columns, "split"
     )
+    return split.unionByName(df.filter(F.col(label).isNull()).withColumn("split", F.lit(None).cast("string")))
 
 
 def stratified_folds(
     df: DataFrame, label: str, key: Sequence[str], folds: int = 5, seed: int = 42, name: str = "fold"
 ) -> DataFrame:
-    """Add a fold number in [0, folds): each class is dealt out evenly."""
-    rows = _bucketed(df, label, key, seed)
+    """Add a fold number in [0, folds): each class is dealt out evenly; null where the label is null."""
+    rows = _bucketed(df.filter(F.col(label).isNotNull()), label, key, seed)
     offsets = _bucket_offsets(rows, label).select("_class", "_b", "_before")
     joined = rows.join(
         F.broadcast(offsets), (F.col(label) == F.col("_class")) & (F.col("_bucket") == F.col("_b"))
     )
     local = F.row_number().over(W.partitionBy("_class", "_bucket").orderBy("_order", *key))
     dealt = ((F.col("_before") + local - 1) % F.lit(folds)).cast("int")
-    return joined.withColumn(name, dealt).select(*df.columns, name)
+    unlabelled = df.filter(F.col(label).isNull()).withColumn(name, F.lit(None).cast("int"))
+    return joined.withColumn(name, dealt).select(*df.columns, name).unionByName(unlabelled)

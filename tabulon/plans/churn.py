@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabulon.functions.text import map_labels
@@ -51,15 +52,15 @@ def to_silver(spark: SparkSession, bronze: str, silver: str) -> DataFrame:
 def labelled(clean: DataFrame, features: Sequence[str] = CHURN_FEATURES, target: str = CHURN_TARGET) -> DataFrame:
     """Features, 0/1 ``label`` and a row key, checkpointed.
 
-    The key is the row's content plus a running number that tells equal rows apart.
-    The number depends on evaluation order, so it is fixed in the checkpoint before
-    anything is decided by it.
+    The key is the row's content plus a running number among equal rows, so it
+    doesn't depend on how the rows are stored.
     """
     rows = clean.select(*features, map_labels(F.col(target), LABELS).alias("label"))
     content = F.sha2(F.to_json(F.struct(*features, "label")), 256)
-    key = F.concat_ws("#", content, F.monotonically_increasing_id().cast("string"))
+    copy = F.row_number().over(W.partitionBy("_content").orderBy("_content"))
     shared_folder(clean.sparkSession)
-    return rows.withColumn(ROW_KEY, key).checkpoint()
+    keyed = rows.withColumn("_content", content)
+    return keyed.withColumn(ROW_KEY, F.concat_ws("#", "_content", copy.cast("string"))).drop("_content").checkpoint()
 
 
 def split_dataset(

@@ -11,7 +11,9 @@ from tabulon.operators.clean import clean_official
 from tabulon.operators.features import public_export
 from tabulon.operators.flags import flag_board, flag_readings
 from tabulon.operators.ordering import chronological
-from tabulon.operators.overrides import apply_board_overrides, apply_reading_overrides, upsert_overrides
+from tabulon.operators.overrides import (
+    apply_board_overrides, apply_reading_overrides, latest_overrides, upsert_overrides,
+)
 from tabulon.schemas import BOARD_OVERRIDES, OFFICIAL, READING_OVERRIDES
 from tabulon.session import scratch_path
 from tabulon.sources.readers import read_or_empty, read_published_sheet
@@ -39,6 +41,12 @@ class ReadingLogPaths:
     public_export: str
 
 
+def _last_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """The row entered last of each key, in the order of files and of rows in a file."""
+    entered = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+    return latest_overrides(rows.withColumn("_entered", entered), key, ["_entered"])
+
+
 def derive_log(
     readings: DataFrame,
     reading_overrides: DataFrame,
@@ -49,11 +57,15 @@ def derive_log(
 ) -> DataFrame:
     """Baseline, corrections, board, review flags; depends on raw columns only.
 
+    Of repeated corrections of a key, and of repeated official days, the last counts.
+
     Flagging reads the merged rows three times (bracket, median, flags). With
     ``staging`` they are stored there first, so the joins run once.
     """
-    corrected = apply_reading_overrides(readings, reading_overrides)
-    boarded = apply_board_overrides(corrected, official, board_overrides)
+    corrected = apply_reading_overrides(readings, _last_per_key(reading_overrides, "filename"))
+    boarded = apply_board_overrides(
+        corrected, _last_per_key(official, "date"), _last_per_key(board_overrides, "filename")
+    )
     if staging:
         boarded = write_layer(boarded, staging)
     return flag_board(flag_readings(boarded, notes_are_array))
@@ -70,8 +82,8 @@ def refresh(
     """
     derived = derive_log(
         readings,
-        read_or_empty(spark, paths.reading_overrides, READING_OVERRIDES),
-        read_or_empty(spark, paths.board_overrides, BOARD_OVERRIDES),
+        read_or_empty(spark, paths.reading_overrides, READING_OVERRIDES, multi_line=True),
+        read_or_empty(spark, paths.board_overrides, BOARD_OVERRIDES, multi_line=True),
         read_or_empty(spark, paths.official, OFFICIAL),
         notes_are_array,
         scratch_path(spark, "merged"),
@@ -98,6 +110,6 @@ def save_override(spark: SparkSession, new_rows: DataFrame, current: str, target
     Writing beside the old version keeps it readable until the new one is complete.
     """
     schema = BOARD_OVERRIDES if board else READING_OVERRIDES
-    merged = upsert_overrides(read_or_empty(spark, current, schema), new_rows.select(*schema.names), "filename")
+    merged = upsert_overrides(read_or_empty(spark, current, schema, multi_line=True), new_rows.select(*schema.names), "filename")
     write_csv(merged, target)
-    return read_or_empty(spark, target, schema)
+    return read_or_empty(spark, target, schema, multi_line=True)

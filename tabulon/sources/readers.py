@@ -42,12 +42,16 @@ def read_csv(
     path: str | Sequence[str],
     schema: T.StructType,
     drop: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited files with a header and doubled inner quotes.
 
+    Files whose header differs from the first one's are an error, not swapped
+    values. ``multi_line`` keeps line breaks inside quotes; such files aren't
+    split, so it is for small ones.
     ``drop`` names export artefacts to leave out; absent ones are ignored.
     """
-    raw = spark.read.csv(path, header=True, escape='"')
+    raw = spark.read.csv(path, header=True, escape='"', enforceSchema=False, multiLine=multi_line)
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
         raise KeyError(f"Source data is missing expected columns: {missing}")
@@ -59,11 +63,13 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return missing_to_null(spark.read.parquet(*paths))
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, format: str = "csv") -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, format: str = "csv", multi_line: bool = False
+) -> DataFrame:
     """An optional table: no file means no rows, with the declared schema."""
     try:
         if format == "csv":
-            return read_csv(spark, path, schema)
+            return read_csv(spark, path, schema, multi_line=multi_line)
         return spark.read.format(format).schema(schema).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -75,7 +81,6 @@ def read_published_sheet(
     spark: SparkSession,
     path: str,
     columns: Mapping[str, str],
-    max_columns: int = 64,
 ) -> DataFrame:
     """A spreadsheet exported as CSV, whose header is not on its first line.
 
@@ -83,7 +88,10 @@ def read_published_sheet(
     its position gives the cells to keep. Title lines above it, unit lines and
     footers stay in as rows: their date cell does not parse, so cleaning drops them.
     """
-    width = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_columns)])
+    # Quoted commas make this an upper bound of the cells in a line.
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    widest = spark.read.text(path).agg(F.max(commas)).first()[0] or 0
+    width = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(widest + 1)])
     cells = spark.read.schema(width).csv(path, header=False, escape='"', mode="PERMISSIVE")
     trimmed = F.array(*[F.trim(F.col(c)) for c in width.names])
     wanted = F.array(*[F.lit(name) for name in columns])
