@@ -70,12 +70,13 @@ def running_start(
     )
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
-    """Connected components of ``links`` (a, b) as (node, root), root the smallest node.
+def star_forest(links: DataFrame, name: str) -> DataFrame:
+    """Each node of ``links`` (a, b) that isn't the smallest of its component, under the smallest: (node, root).
 
     Large-star and small-star steps in turn; every step's links are written to
     the shared folder, so lineage stays short and a lost executor costs one step.
-    Stops when a pair of steps changes no link, after about log(nodes) rounds.
+    Stops when nobody has two parents and no parent is a child, after about
+    log(nodes) rounds. ``links`` are read several times: pass a staged table.
     """
     def star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -89,17 +90,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
             out = out.union(least.select("a", F.col("m").alias("b")))
         return out.filter(F.col("a") != F.col("b")).distinct()
 
-    edges = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .filter("a <> b").distinct(), name)
-    mark = None
+    edges = links.select("a", "b").filter("a <> b")
     while True:
         edges = stage(star(star(edges, True), False), name)
-        now = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-        if now == mark:
-            break
-        mark = now
-    roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+        part = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            edges.select("b", F.lit(0), F.lit(1)))
+        part = part.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not part.agg(F.max(F.col("up") + F.least("up", "down") > 1)).first()[0]:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 # --- words of an Arrow column as numpy arrays ---------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tabulon.llm.common import Words, chunks, components, mix, run_hashes, stage, stage_twice
+from tabulon.llm.common import Words, chunks, mix, run_hashes, stage, stage_twice, star_forest
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -245,23 +245,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     shingles = stage(bag_shingles(docs, wanted), "near-shingles")
     alone = stage(with_bounds(members, shingles, similarity).withColumn("root", F.col("bag")), "near-members")
 
-    links = alone.select(F.col("bag").alias("a"), F.col("bag").alias("b")).limit(0)
-    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    def joined(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """Components of the new links and of those found before, which the forest holds already."""
+        if roots is not None:
+            links = links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        return star_forest(links, "near-components")
+
+    roots = None
     for most in pivots:
         rank = F.row_number().over(W.partitionBy("bucket").orderBy("unshared", "bag"))
         chosen = stage(alone.withColumn("_n", rank).filter(F.col("_n") <= most).select("bucket", "bag", "root"), "near-pivots")
         centre = chosen.select("bucket", F.col("bag").alias("_p"), F.col("root").alias("_pr"))
         pairs = alone.join(centre, "bucket").filter("root <> _pr").select(
             F.least("bag", "_p").alias("a"), F.greatest("bag", "_p").alias("b")).distinct()
-        links = stage(links.unionByName(verified(pairs, shingles, similarity)), "near-links")
-        roots = components(links, "near-components")
+        roots = joined(stage(verified(pairs, shingles, similarity), "near-links"), roots)
         rest = alone.drop("root").join(chosen.select("bucket", "bag"), ["bucket", "bag"], "left_anti")
         rest = rest.join(roots.withColumnRenamed("node", "bag"), "bag", "left").withColumn("root", F.coalesce("root", "bag"))
         rest = stage(rest, "near-rest")
         split = rest.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b")
         alone = stage(rest.join(split.select("bucket"), "bucket"), "near-members")
     if not alone.isEmpty():
-        last = block_links(alone.select("bucket", "bag", "root"), shingles, similarity)
-        roots = components(links.unionByName(last), "near-components")
+        roots = joined(stage(block_links(alone.select("bucket", "bag", "root"), shingles, similarity), "near-links"), roots)
     found = signed.drop("buckets").join(roots.withColumnRenamed("node", "bag"), "bag", "left")
     return found.select("doc_id", "content", F.coalesce("root", "bag").alias("class"))
