@@ -12,6 +12,9 @@ from tabulon.operators import dashboard as B
 from tabulon.operators.flags import review_queue as waiting
 from tabulon.operators.ordering import every_nth, newest_first
 from tabulon.operators.overrides import apply_reading_overrides
+from tabulon.schemas import BOARD_PRICES
+from tabulon.session import scratch_path
+from tabulon.sources.writers import write_layer
 
 
 def _corrected(spark, folder):
@@ -31,7 +34,7 @@ h AS (SELECT {pick}
   FROM merged {by})
 SELECT {pick} f.p AS first_price, l.p AS latest_price, l.g AS latest_gallons, round(l.p - f.p, 4) AS delta,
   round((l.p - f.p) / nullif(f.p, 0) * 100, 6) AS delta_pct,
-  CASE WHEN l.p - f.p > 0 THEN 'up' WHEN l.p - f.p < 0 THEN 'down' WHEN l.p = f.p THEN 'flat' END AS trend,
+  CASE WHEN l.p - f.p > 0 THEN 'up' WHEN l.p - f.p < 0 THEN 'down' ELSE 'flat' END AS trend,
   round(mean_price, 10) AS mean_price, n_total, n_auto, n_reviewed FROM h"""
 
 
@@ -99,6 +102,26 @@ def chart_ticks(spark, folder):
     )
 
 
+@query(S.LOG_SQL + """,
+u AS (SELECT * FROM (SELECT user_id, filename, datetime_original, price_diesel_gtq, price_regular_gtq, price_super_gtq,
+        price_vpower_gtq FROM log)
+      UNPIVOT (price FOR fuel IN (price_diesel_gtq, price_regular_gtq, price_super_gtq, price_vpower_gtq))),
+s AS (SELECT *, row_number() OVER (PARTITION BY user_id, fuel ORDER BY datetime_original, filename) - 1 AS position,
+        count(*) OVER (PARTITION BY user_id, fuel) AS n, min(price) OVER (PARTITION BY user_id, fuel) AS lo,
+        max(price) OVER (PARTITION BY user_id, fuel) AS hi FROM u WHERE price IS NOT NULL),
+a AS (SELECT *, lo - greatest((hi - lo) * 0.25, 1.0) AS axis_low, hi + greatest((hi - lo) * 0.25, 1.0) AS axis_high
+      FROM s WHERE n >= 2)
+SELECT filename, user_id, fuel, position, round(axis_low, 6) AS axis_low, round(axis_high, 6) AS axis_high,
+  round(position / (n - 1), 9) AS x, round(1 - (price - axis_low) / (axis_high - axis_low), 9) AS y FROM a""")
+def board_series(spark, folder):
+    """A series per user and fuel, over the rows where that fuel's price is known."""
+    log = derived_log(spark, folder).select("user_id", "filename", "datetime_original", *BOARD_PRICES)
+    stored = write_layer(log, scratch_path(spark, "board"))
+    return B.board_series(stored, ["user_id"]).select(
+        "filename", "user_id", "fuel", "position", *[F.round(c, n).alias(c) for c, n in
+                                                    (("axis_low", 6), ("axis_high", 6), ("x", 9), ("y", 9))])
+
+
 @query(S.LOG_SQL + """
 SELECT filename, strftime(day, '%d %b %Y') AS shown, review_reason, array_to_string(notes, ';') AS notes
 FROM log WHERE needs_review AND data_source <> 'manual_override'""")

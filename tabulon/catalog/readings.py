@@ -280,6 +280,24 @@ def lag_features_by_user(spark, folder):
     return _lags(spark, folder, ["user_id"])
 
 
+@query("WITH " + S.READINGS_SQL + """,
+m AS (SELECT *, CASE right(filename, 1) WHEN '3' THEN left(datetime_original, 10) WHEN '7' THEN 'unknown'
+        WHEN '9' THEN NULL ELSE datetime_original END AS stamp FROM merged),
+p AS (SELECT filename, user_id, stamp, price_per_gallon_gtq AS price,
+        TRY_CAST(replace(left(stamp, 10), ':', '-') AS DATE) AS on_day FROM m)
+SELECT filename, CAST(on_day - lag(on_day) OVER w AS BIGINT) AS days, round(price - lag(price) OVER w, 6) AS change
+FROM p WINDOW w AS (PARTITION BY user_id ORDER BY stamp NULLS LAST, filename)""")
+def lag_features_gaps(spark, folder):
+    """Stamps cut to the day, unreadable or missing: they keep their place in the text order, missing ones last."""
+    readings = S.readings(spark, folder)
+    last, at = F.right("filename", F.lit(1)), F.col("datetime_original")
+    stamped = apply_reading_overrides(readings, S.overrides(spark, folder)).withColumn(
+        "datetime_original", F.when(last == "3", F.left(at, F.lit(10))).when(last == "7", "unknown").when(last != "9", at))
+    return lag_features(stamped, entity=["user_id"], extent=readings).select(
+        "filename", F.col("days_since_previous_fill").cast("bigint").alias("days"),
+        F.round("price_change_gtq", 6).alias("change"))
+
+
 @query(_lag_sql(""))
 def lag_features_whole_log(spark, folder):
     return _lags(spark, folder, [])

@@ -9,7 +9,7 @@ from tabulon.catalog.cleaning import CLEAN_SQL, cleaned_lines
 from tabulon.catalog.learning import _CATEGORICAL, _NUMERIC, graded_split
 from tabulon.catalog.readings import EXPORT_SQL, rounded_export
 from tabulon.catalog.registry import query, table
-from tabulon.ml import InverseStrengthLogisticRegression, build_model
+from tabulon.ml import InverseStrengthLogisticRegression, build_model, score
 from tabulon.operators.features import public_export
 from tabulon.plans.reading_log import ReadingLogPaths, refresh
 from tabulon.session import scratch_path
@@ -51,31 +51,39 @@ def stream_ingest(spark, folder):
 
 @query("""
 SELECT user_id, event_id, event_type, round(value * 2, 4) AS doubled FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1""")
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1""")
 def stream_merge(spark, folder):
     """Events land as one file per week; each file is one micro-batch upserted by user."""
     out = scratch_path(spark, "merge")
     events = table(spark, folder, "events")
     weekly = events.withColumn("week", F.weekofyear("ts"))
-    write_layer(weekly.repartition("week").sortWithinPartitions("ts"), f"{out}/landing", partition_by=["week"])
+    write_layer(weekly.repartition("week").sortWithinPartitions("ts", "event_id"), f"{out}/landing", partition_by=["week"])
     stream = file_stream(spark, f"{out}/landing/*", events.schema, files_per_batch=1)
     merge_stream(
-        stream, f"{out}/log", f"{out}/checkpoint", ["user_id"], ["ts"],
+        stream, f"{out}/log", f"{out}/checkpoint", ["user_id"], ["ts", "event_id"],
         lambda rows: rows.withColumn("doubled", F.round(F.col("value") * 2, 4)),
     ).awaitTermination()
-    return latest_versions(spark, f"{out}/log", ["user_id"], ["ts"]).select(
+    return latest_versions(spark, f"{out}/log", ["user_id"], ["ts", "event_id"]).select(
         "user_id", "event_id", "event_type", "doubled"
     )
 
 
-@query()
+@query("SELECT doc_id, TRUE AS same_as_batch FROM documents")
 def stream_score(spark, folder):
-    """Documents arrive as files and are scored by a model fitted on graded ones."""
+    """Documents arrive as files, meet their labels and are scored; each score is held against the batch one."""
     out = scratch_path(spark, "score")
     train, _ = graded_split(spark, folder)
     model = build_model(InverseStrengthLogisticRegression(), _NUMERIC, _CATEGORICAL).fit(train)
-    documents = table(spark, folder, "documents")
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+
+    def features(rows):
+        return rows.join(labels, "doc_id", "left").select("doc_id", *_NUMERIC, *_CATEGORICAL)
+
     stream = file_stream(spark, folder, documents.schema, glob="documents.parquet")
-    rows = stream.select("doc_id", "lang", "source", "n_chars", F.lit(None).cast("int").alias("toxic"))
-    score_stream(rows, model, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/table").select("doc_id", "score_probability", "score_predicted")
+    score_stream(features(stream), model, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    batch = score(model, features(documents)).select(
+        "doc_id", F.col("score_probability").alias("_p"), F.col("score_predicted").alias("_c"))
+    same = (F.abs(F.col("score_probability") - F.col("_p")) < 1e-12) & (F.col("score_predicted") == F.col("_c"))
+    return spark.read.parquet(f"{out}/table").join(batch, "doc_id", "left").select(
+        "doc_id", F.coalesce(same, F.lit(False)).alias("same_as_batch"))

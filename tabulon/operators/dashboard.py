@@ -23,7 +23,8 @@ TITLE_GAP = " — "
 
 
 def trend(delta: Column) -> Column:
-    return F.when(delta > 0, "up").when(delta < 0, "down").when(delta.isNotNull(), "flat")
+    """An unknown change shows as flat."""
+    return F.when(delta > 0, "up").when(delta < 0, "down").otherwise("flat")
 
 
 def headline(df: DataFrame, entity: Sequence[str] = (), when: Column | None = None) -> DataFrame:
@@ -75,19 +76,18 @@ def latest_confirmed_board(df: DataFrame, entity: Sequence[str] = ()) -> DataFra
 
 def chart_series(
     df: DataFrame, entity: Sequence[str] = (), order: Sequence[str] = ("datetime_original", "filename"),
-    position: Column | None = None, value: str = "price_per_gallon_gtq", rows_per_cell: int = ROWS_PER_CELL,
-    extent: DataFrame | None = None,
+    value: str = "price_per_gallon_gtq", rows_per_cell: int = ROWS_PER_CELL, extent: DataFrame | None = None,
+    valid: Column | None = None,
 ) -> DataFrame:
     """Each valid row's place in its chart: position, axis domain and coordinates in [0, 1].
 
-    The axis is padded by a quarter of the range, at least 1. A series of fewer
-    than two points has no chart and yields no rows.
+    Rows count where ``valid`` holds, else where the reading parsed. The axis is
+    padded by a quarter of the range, at least 1. A series of fewer than two points
+    has no chart and yields no rows.
     """
-    valid = df.filter(F.col("parse_ok"))
-    where = F.unix_micros(exif_timestamp(F.col("datetime_original"))) if position is None else position
+    rows = df.filter(F.col("parse_ok") if valid is None else valid)
     placed = with_position(
-        valid, order, where, entity, rows_per_cell, {"min_value": F.min(value), "max_value": F.max(value)},
-        extent,
+        rows, order, entity, rows_per_cell, {"min_value": F.min(value), "max_value": F.max(value)}, extent,
     ).filter(F.col("series_rows") >= 2)
     pad = F.greatest((F.col("max_value") - F.col("min_value")) * AXIS_PAD_SHARE, F.lit(AXIS_PAD_MIN))
     low, high = F.col("min_value") - pad, F.col("max_value") + pad
@@ -97,6 +97,17 @@ def chart_series(
     })
 
 
+def board_series(df: DataFrame, entity: Sequence[str] = (), rows_per_cell: int = ROWS_PER_CELL,
+                 extent: DataFrame | None = None) -> DataFrame:
+    """One chart series per board fuel, over the rows where that fuel's price is known.
+
+    Rows become (``fuel``, ``price``) once; a series is an entity's fuel.
+    """
+    long = df.unpivot([*entity, "filename", "datetime_original"], BOARD_PRICES, "fuel", "price")
+    return chart_series(long, [*entity, "fuel"], value="price", rows_per_cell=rows_per_cell, extent=extent,
+                        valid=F.col("price").isNotNull())
+
+
 def display_rows(df: DataFrame) -> DataFrame:
     """Table cells as text: moment, total, gallons, price, badge, label."""
     moment = exif_timestamp(F.col("datetime_original"))

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabulon.operators.ordering import CELL, ROWS_PER_CELL, with_cell
+from tabulon.operators.ordering import CELL, ROWS_PER_CELL, cells_for, with_cell
+from tabulon.session import scratch_path
+from tabulon.sources.writers import write_layer
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -47,13 +49,15 @@ def roc_auc(
 ) -> DataFrame:
     """One row, ``roc_auc``: chance that a positive outscores a negative, ties counting half.
 
-    Equal scores are merged first; negatives below are then counted inside grid
-    cells of the score axis, and across cells on their totals alone.
+    Equal scores are merged first and stored; negatives below are then counted inside
+    cells of the sorted scores, and across cells on their totals alone.
     """
     positive = F.count_if(F.col(label) == 1).alias("pos")
     negative = F.count_if(F.col(label) != 1).alias("neg")
     scores = df.groupBy(F.col(score).cast("double").alias("s")).agg(positive, negative)
-    cells = with_cell(scores, F.col("s"), rows_per_cell)
+    scores = write_layer(scores, scratch_path(df.sparkSession, "scores"))
+    n = cells_for(scores, rows_per_cell)
+    cells = with_cell(scores, n, ["s"]) if n > 1 else scores.withColumn(CELL, F.lit(0))
     below = W.partitionBy(CELL).orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     ranked = cells.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     won = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2)

@@ -1,97 +1,78 @@
 """Row order without one task per entity.
 
-A window partitioned by entity puts a hot entity into a single task. Here every
-entity of more than ``rows_per_cell`` rows is cut into cells along the order axis,
-and windows run per (entity, cell); smaller entities stay whole. What has to cross
-a cell border travels in a per-cell summary of at most rows / rows_per_cell rows.
+A window partitioned by entity puts a hot entity into a single task. Here a table of
+more than ``rows_per_cell`` rows is cut into cells along (entity, order): the same
+total order that the windows use, so cells never change an answer. The cut points
+come from Spark's own sample of the sort keys, hence bursts, outliers and missing
+values are split as evenly as anything else; only rows equal in every order column
+stay together. What has to cross a cell border travels in a summary of a row a cell.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ROWS_PER_CELL = 1_000_000
+from tabulon.session import scratch_path
+from tabulon.sources.writers import write_layer
+
+ROWS_PER_CELL = 5_000_000
 CELL = "_cell"
-_CUT = "_cut"
 
 
-def _grid(n: Column, lo: Column, hi: Column, rows_per_cell: int) -> Column:
-    return F.struct(
-        F.coalesce(lo, F.lit(0.0)).alias("lo"),
-        F.coalesce(hi - lo, F.lit(0.0)).alias("span"),
-        F.greatest(F.ceil(n / F.lit(rows_per_cell)), F.lit(1)).cast("bigint").alias("cells"),
-    )
+def cells_for(df: DataFrame, rows_per_cell: int = ROWS_PER_CELL, extent: DataFrame | None = None) -> int:
+    """How many cells a table needs; ``extent`` is a cheaper table of at least as many rows to count."""
+    return max(1, math.ceil((df if extent is None else extent).count() / rows_per_cell))
 
 
-def with_cell(
-    df: DataFrame,
-    position: Column,
-    rows_per_cell: int = ROWS_PER_CELL,
-    extent: DataFrame | None = None,
-    entity: Sequence[str] = (),
-) -> DataFrame:
-    """Add each row's cell number, and whether its entity is cut into several cells.
+def with_cell(df: DataFrame, cells: int, order: Sequence[str], entity: Sequence[str] = ()) -> DataFrame:
+    """Add each row's cell number; cells follow (entity, order), nulls of ``order`` last.
 
-    Cells follow the order of ``position`` on an even grid over the entity's own
-    range (the whole table's without ``entity``); null positions share the cell after
-    the last. ``extent`` is a cheaper table with the same entities and positions to
-    measure on.
+    The result is stored: the sampled cut points, and with them the cells, are then
+    the same for every reader and after the loss of an executor.
     """
-    spot = position.cast("double")
-    source = df if extent is None else extent
-    sizes = [F.count(F.lit(1)).alias("_n"), F.min(spot).alias("_lo"), F.max(spot).alias("_hi")]
-    grid = _grid(F.col("_n"), F.col("_lo"), F.col("_hi"), rows_per_cell).alias("_grid")
-    if entity:
-        measured = source.groupBy(*entity).agg(*sizes).filter(F.col("_n") > rows_per_cell)
-        hot = measured.select(*[F.col(e).alias(f"_hot_{e}") for e in entity], grid)
-        same = [F.col(e).eqNullSafe(F.col(f"_hot_{e}")) for e in entity]
-        # Entities above rows_per_cell number at most rows / rows_per_cell: a bounded table.
-        gridded = df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{e}" for e in entity])
-    else:
-        gridded = df.withColumn("_grid", source.agg(*sizes).select(grid).scalar())
-    g = F.col("_grid")
-    raw = F.floor(F.coalesce(F.try_divide(spot - g["lo"], g["span"]), F.lit(0.0)) * g["cells"])
-    inside = F.greatest(F.lit(0), F.least(raw, g["cells"] - F.lit(1)))
-    cell = F.when(g.isNull(), F.lit(0)).when(position.isNull(), g["cells"]).otherwise(inside)
-    return gridded.withColumns({CELL: cell.cast("bigint"), _CUT: g.isNotNull()}).drop("_grid")
+    keys = [*[F.col(e).asc_nulls_first() for e in entity], *[F.col(c).asc_nulls_last() for c in order]]
+    dealt = df.repartitionByRange(cells, *keys).withColumn(CELL, F.spark_partition_id())
+    return write_layer(dealt, scratch_path(df.sparkSession, "cells"))
 
 
 def with_previous(
     df: DataFrame,
     values: dict[str, Column],
     order: Sequence[str],
-    position: Column,
     entity: Sequence[str] = (),
     rows_per_cell: int = ROWS_PER_CELL,
     extent: DataFrame | None = None,
 ) -> DataFrame:
     """Add, for each name, the value its expression had in the entity's previous row.
 
-    The last row of each cell is copied into the entity's next non-empty cell, so
-    a single window per (entity, cell) sees its predecessor; the copies are then
-    dropped. Rows are ordered by ``order``, nulls last.
+    Only the last entity of a cell can go on in a later one, so the last row of each
+    cell is copied into the next cell and a single window per (entity, cell) sees its
+    predecessor; the copies are then dropped. Rows are ordered by ``order``, nulls last.
     """
+    cells = cells_for(df, rows_per_cell, extent)
+    inside = [F.col(c).asc_nulls_last() for c in order]
+    if cells == 1:
+        return df.withColumns({
+            name: F.lag(column).over(W.partitionBy(*entity).orderBy(*inside)) for name, column in values.items()
+        })
     sources = {f"_src_{name}": column for name, column in values.items()}
-    cut = with_cell(df, position, rows_per_cell, extent, entity).withColumns(sources)
-    carried = [*order, *sources]
-    sort_key = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
-    lasts = cut.filter(_CUT).groupBy(*entity, CELL).agg(F.max_by(F.struct(*carried), sort_key).alias("_last"))
-    across = W.partitionBy(*entity).orderBy(CELL)
+    cut = with_cell(df, cells, order, entity).withColumns(sources)
+    sort_key = F.struct(*entity, *[part for c in order for part in (F.col(c).isNull(), F.col(c))])
+    lasts = cut.groupBy(CELL).agg(F.max_by(F.struct(*entity, *order, *sources), sort_key).alias("_last"))
     carries = (
-        lasts.withColumn(CELL, F.lead(CELL).over(across))
+        lasts.withColumn(CELL, F.lead(CELL).over(W.orderBy(CELL)))  # one row per cell
         .filter(F.col(CELL).isNotNull())
-        .select(*entity, CELL, "_last.*", F.lit(True).alias("_carry"))
-    )
-    both = cut.drop(_CUT).withColumn("_carry", F.lit(False)).unionByName(carries, allowMissingColumns=True)
-    inside = W.partitionBy(*entity, CELL).orderBy(
-        F.col("_carry").desc(), *[F.col(c).asc_nulls_last() for c in order]
+        .select(CELL, "_last.*", F.lit(True).alias("_carry"))
     )
+    both = cut.withColumn("_carry", F.lit(False)).unionByName(carries, allowMissingColumns=True)
+    window = W.partitionBy(*entity, CELL).orderBy(F.col("_carry").desc(), *inside)
     return (
-        both.withColumns({name: F.lag(f"_src_{name}").over(inside) for name in values})
+        both.withColumns({name: F.lag(f"_src_{name}").over(window) for name in values})
         .filter(~F.col("_carry"))
         .drop("_carry", CELL, *sources)
     )
@@ -100,7 +81,6 @@ def with_previous(
 def with_position(
     df: DataFrame,
     order: Sequence[str],
-    position: Column,
     entity: Sequence[str] = (),
     rows_per_cell: int = ROWS_PER_CELL,
     extra_totals: dict[str, Column] | None = None,
@@ -112,25 +92,32 @@ def with_position(
     re-aggregated by the same function over cells; they ride on the same summary.
     """
     extra_totals = extra_totals or {}
-    cut = with_cell(df, position, rows_per_cell, extent, entity).drop(_CUT)
-    cells = cut.groupBy(*entity, CELL).agg(
+    keys = [F.col(c).asc_nulls_last() for c in order]
+    whole = W.partitionBy(*entity)
+    cells = cells_for(df, rows_per_cell, extent)
+    if cells == 1:
+        return df.withColumns({
+            "series_rows": F.count(F.lit(1)).over(whole),
+            **{name: agg.over(whole) for name, agg in extra_totals.items()},
+            "position": F.row_number().over(whole.orderBy(*keys)) - 1,
+        })
+    cut = with_cell(df, cells, order, entity)
+    parts = cut.groupBy(*entity, CELL).agg(
         F.count(F.lit(1)).alias("_rows"), *[agg.alias(name) for name, agg in extra_totals.items()]
     )
     before = W.partitionBy(*entity).orderBy(CELL).rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*entity)
-    offsets = cells.select(
+    offsets = parts.select(
         *[F.col(e).alias(f"_of_{e}") for e in entity],
         F.col(CELL).alias("_of_cell"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(whole).alias("series_rows"),
         *[_reaggregate(name).over(whole).alias(name) for name in extra_totals],
     )
-    inside = W.partitionBy(*entity, CELL).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     same = F.col(CELL) == F.col("_of_cell")
     for e in entity:
         same = same & F.col(e).eqNullSafe(F.col(f"_of_{e}"))
     return (
-        cut.withColumn("_local", F.row_number().over(inside))
+        cut.withColumn("_local", F.row_number().over(W.partitionBy(*entity, CELL).orderBy(*keys)))
         .join(offsets, same)
         .withColumn("position", F.col("_before") + F.col("_local") - 1)
         .drop(CELL, "_local", "_before", "_of_cell", *[f"_of_{e}" for e in entity])

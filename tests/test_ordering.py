@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tabulon.operators.dashboard import chart_series, headline, latest_confirmed_board, pending_counts
 from tabulon.operators.ordering import (
-    chronological, every_nth, first_per_key, head, newest_first, with_position, with_previous,
+    CELL, cells_for, chronological, every_nth, first_per_key, head, newest_first, with_cell, with_position, with_previous,
 )
+from tabulon.operators.features import lag_features
 from tabulon.operators.clean import clean_customers, keep_plausible
 from tabulon.schemas import BOARD_PRICES, CHURN
 
@@ -33,7 +34,7 @@ def ordered(rows):
 def test_previous_crosses_cells(spark, rows_per_cell, entity):
     rows = log_rows()
     df = spark.createDataFrame(rows, "e string, at long, id int, v double").repartition(4)
-    got = with_previous(df, {"pv": F.col("v"), "pid": F.col("id")}, ["at", "id"], F.col("at"), entity, rows_per_cell)
+    got = with_previous(df, {"pv": F.col("v"), "pid": F.col("id")}, ["at", "id"], entity, rows_per_cell)
     assert got.columns == ["e", "at", "id", "v", "pv", "pid"]
     want, last = {}, {}
     for e, _, i, v in ordered(rows):
@@ -47,7 +48,7 @@ def test_previous_crosses_cells(spark, rows_per_cell, entity):
 def test_positions_and_ticks(spark, rows_per_cell):
     rows = log_rows(9)
     df = spark.createDataFrame(rows, "e string, at long, id int, v double").repartition(3)
-    got = with_position(df, ["at", "id"], F.col("at"), ["e"], rows_per_cell, {"max_v": F.max("v")})
+    got = with_position(df, ["at", "id"], ["e"], rows_per_cell, {"max_v": F.max("v")})
     seen, sizes = {}, {}
     for e, _, i, _ in ordered(rows):
         seen[i] = sizes.get(e, 0)
@@ -60,6 +61,30 @@ def test_positions_and_ticks(spark, rows_per_cell):
     assert ticks == {i for e, _, i, _ in rows if seen[i] % max(1, sizes[e] // 5) == 0}
 
 
+@pytest.mark.parametrize("entity", [["user"], []])
+def test_malformed_stamps_do_not_depend_on_cells(spark, entity):
+    stamps = ["2024:01:01 10:00:00", "2024:01:05 10:00:00", "2024:01:06", "2024:01:07 09:00:00", None, "bad",
+              "2024:01:09 10:00:00"]
+    rows = [("u", f"f{i}", s, float(40 + i)) for i, s in enumerate(stamps)]
+    df = spark.createDataFrame(rows, "user string, filename string, datetime_original string, price_per_gallon_gtq double")
+    one, two, many = (
+        {r["filename"]: tuple(r[-3:]) for r in lag_features(df, entity=entity, rows_per_cell=n).collect()}
+        for n in (1000, 2, 1)
+    )
+    assert one == two == many
+    assert one["f2"][:2] == (1, 1.0) and one["f3"][:2] == (1, 1.0)
+
+
+@pytest.mark.parametrize("kind", ["outlier", "nulls"])
+def test_cells_stay_even(spark, kind):
+    at = F.when(F.col("id") == 0, 10**12).otherwise(F.col("id") % 50) if kind == "outlier" else F.when(F.col("id") >= 18_000, F.col("id"))
+    df = spark.range(20_000).select(F.lit("hot").alias("e"), at.cast("long").alias("at"), "id").repartition(8)
+    cells = cells_for(df, 1000)
+    cut = with_cell(df, cells, ["at", "id"], ["e"]).groupBy(CELL).count().collect()
+    assert cells == 20 and len(cut) == 20 and max(r["count"] for r in cut) <= 2000
+    assert sum(r["count"] for r in cut) == 20_000
+
+
 def test_orders(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
     assert [r["v"] for r in chronological(df, "k").collect()] == ["a", "c", "b"]
