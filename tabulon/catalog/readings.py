@@ -18,10 +18,11 @@ from tabulon.operators.overrides import (
     apply_board_overrides, apply_reading_overrides, board_baseline, split_valid, upsert_overrides,
 )
 from tabulon.operators.select import stack
-from tabulon.plans.reading_log import derive_log
+from tabulon.plans.reading_log import derive_log, log_rows, save_override
+from tabulon.schemas import BOARD_PRICES
 from tabulon.session import scratch_path
 from tabulon.sources.metadata import metadata_fields
-from tabulon.sources.writers import write_layer
+from tabulon.sources.writers import write_csv, write_layer
 
 
 @query("WITH " + S.READINGS_SQL + "," + S.FLAGS_SQL + """
@@ -140,18 +141,20 @@ def board_sources(spark, folder):
     )
 
 
+_PLACE_TABLE_SQL = """
+places AS (
+  SELECT round(10 + n_nationkey * 0.5::DOUBLE, 4) AS lat4, round(-90 + n_nationkey * 0.25::DOUBLE, 4) AS lon4, n_name,
+    coalesce(nullif(CASE WHEN n_regionkey = 0 THEN '' ELSE n_name END, ''),
+             nullif(CASE WHEN n_regionkey = 0 THEN r_name END, ''), 'village') AS city
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 2)"""
+
 _PLACES_SQL = """
 WITH spots AS (
   SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0 ELSE 10 + c_nationkey * 0.5::DOUBLE + c_acctbal / 1e9 END AS lat,
          -90 + c_nationkey * 0.25::DOUBLE AS lon FROM customer),
 keyed AS (
   SELECT c_custkey, CASE WHEN lat <> 0 AND lon <> 0 THEN round(lat, 4) END AS lat4,
-         CASE WHEN lat <> 0 AND lon <> 0 THEN round(lon, 4) END AS lon4 FROM spots),
-places AS (
-  SELECT round(10 + n_nationkey * 0.5::DOUBLE, 4) AS lat4, round(-90 + n_nationkey * 0.25::DOUBLE, 4) AS lon4, n_name,
-    coalesce(nullif(CASE WHEN n_regionkey = 0 THEN '' ELSE n_name END, ''),
-             nullif(CASE WHEN n_regionkey = 0 THEN r_name END, ''), 'village') AS city
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 2)"""
+         CASE WHEN lat <> 0 AND lon <> 0 THEN round(lon, 4) END AS lon4 FROM spots),""" + _PLACE_TABLE_SQL
 
 
 def _spots(spark, folder):
@@ -194,6 +197,81 @@ def geo_unknown(spark, folder):
     return unknown_places(_spots(spark, folder), _places(spark, folder))
 
 
+def _photos(spark, folder):
+    """(dumps, recognised, previous): a photo per event; those of small k are in the log already, some of them gone since."""
+    e = S.events(spark, folder)
+    name = F.concat(F.lit("R"), F.lpad(F.col("event_id").cast("string"), 10, "0")).alias("filename")
+    spot = F.col("k") % 25
+    tags = F.struct(
+        F.date_format("ts", "yyyy:MM:dd HH:mm:ss").alias("DateTimeOriginal"), F.col("event_type").alias("Model"),
+        F.when(F.col("event_type") == "click", 0.0).otherwise(F.lit(10.0) + spot * 0.5).alias("GPSLatitude"),
+        (F.lit(-90.0) + spot * 0.25).alias("GPSLongitude"),
+    )
+    readings = S.readings(spark, folder)
+    keys = {"diesel": "diesel", "regular": "regular", "super": "super", "v-power": "vpower"}
+    prices = F.create_map(*[c for key, f in keys.items() for c in (F.lit(key), F.col(f"price_{f}_raw"))])
+    crops = F.create_map(*[c for key in keys for c in (F.lit(key), F.concat("filename", F.lit(f"-{key}")))])
+    recognised = readings.select(
+        "filename", F.struct("total_raw", "gallons_raw", "notes").alias("pump"),
+        F.struct(prices.alias("prices_raw"), crops.alias("crop_paths"), F.array(F.lit("board_found")).alias("notes"))
+        .alias("board"),
+    )
+    done = readings.join(e.filter("k < 40").select(name, "k"), "filename").withColumns(
+        {"camera_model": F.lit("stored"), "geo_city": F.lit("known"), "total_gtq": F.lit(-1.0)})
+    gone = done.filter("k < 5").withColumn("filename", F.concat(F.lit("gone-"), "filename"))
+    return e.select(name, F.to_json(tags).alias("metadata")), recognised, stack(done, gone).drop("k", "user_id")
+
+
+@query(S.LOG_SQL + "," + _PLACE_TABLE_SQL + """
+SELECT filename, datetime_original, CASE WHEN k < 40 THEN 'stored' ELSE event_type END AS camera_model,
+  CASE WHEN k < 40 THEN 'known' ELSE city END AS geo_city, CASE WHEN k >= 40 THEN filename || '-diesel' END AS price_diesel_crop,
+  CASE WHEN k >= 40 THEN 'board_found' END AS board_notes, total_gtq, price_per_gallon_gtq, data_source, review_reason,
+  price_regular_gtq, price_vpower_gtq, board_data_source
+FROM log LEFT JOIN places ON event_type <> 'click' AND lat4 = round(10 + (k % 25) * 0.5::DOUBLE, 4)
+  AND lon4 = round(-90 + (k % 25) * 0.25::DOUBLE, 4)""")
+def build_log(spark, folder):
+    """Metadata, readings and places to the reviewed log; photos already in it are reused."""
+    dumps, recognised, previous = _photos(spark, folder)
+    rows = log_rows(dumps, recognised, _places(spark, folder), previous, place_fields=["display_name", "city"])
+    log = derive_log(rows, S.overrides(spark, folder), S.board_overrides(spark, folder), S.official(spark, folder),
+                     staging=scratch_path(spark, "merged"))
+    return log.select(
+        "filename", "datetime_original", "camera_model", "geo_city", "price_diesel_crop", "board_notes", "total_gtq",
+        "price_per_gallon_gtq", "data_source", "review_reason", "price_regular_gtq", "price_vpower_gtq", "board_data_source",
+    )
+
+
+@query(S.LOG_SQL + """,
+fresh AS (
+  SELECT filename, value AS diesel, value + 1 AS regular, value + 2 AS super, k - 10.0::DOUBLE AS vpower FROM ev
+  WHERE event_type IN ('signup', 'error') AND k < 15),
+typed AS (SELECT * FROM fresh WHERE diesel > 0 AND regular > 0 AND super > 0 AND vpower > 0)
+SELECT l.filename, CASE WHEN t.filename IS NULL THEN price_diesel_gtq ELSE diesel END AS price_diesel_gtq,
+  CASE WHEN t.filename IS NULL THEN price_regular_gtq ELSE regular END AS price_regular_gtq,
+  CASE WHEN t.filename IS NULL THEN price_super_gtq ELSE super END AS price_super_gtq,
+  CASE WHEN t.filename IS NULL THEN price_vpower_gtq ELSE vpower END AS price_vpower_gtq,
+  CASE WHEN t.filename IS NULL THEN board_data_source ELSE 'manual' END AS board_data_source,
+  CASE WHEN t.filename IS NULL THEN board_override_note ELSE E'seen again,\nby hand' END AS board_override_note
+FROM log l LEFT JOIN typed t ON l.filename = t.filename""")
+def board_upsert(spark, folder):
+    """New board readings replace older ones of their photo; the table is written, read back and applied to the log."""
+    e = S.events(spark, folder).filter("event_type IN ('signup', 'error') AND k < 15")
+    fresh = e.select(
+        F.concat(F.lit("R"), F.lpad(F.col("event_id").cast("string"), 10, "0")).alias("filename"),
+        F.col("value").alias("price_diesel_gtq"), (F.col("value") + 1).alias("price_regular_gtq"),
+        (F.col("value") + 2).alias("price_super_gtq"), (F.col("k") - 10.0).alias("price_vpower_gtq"),
+        F.lit("seen again,\nby hand").alias("note"),
+    )
+    out = scratch_path(spark, "board")
+    write_csv(S.board_overrides(spark, folder), f"{out}/first")
+    accepted, _ = split_valid(fresh, BOARD_PRICES)
+    saved = save_override(spark, accepted, f"{out}/first", f"{out}/second", board=True)
+    corrected = apply_reading_overrides(S.readings(spark, folder), S.overrides(spark, folder))
+    return apply_board_overrides(corrected, S.official(spark, folder), saved).select(
+        "filename", *BOARD_PRICES, "board_data_source", "board_override_note"
+    )
+
+
 @query("""
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_value,
        CAST(NULL AS VARCHAR) AS absent FROM events""")

@@ -6,8 +6,8 @@ import argparse
 
 from tabulon.ml import evaluate_model, tune_all_models, tuning_table
 from tabulon.plans.churn import ROW_KEY, labelled, split_dataset, to_bronze, to_gold, to_silver
-from tabulon.plans.reading_log import ReadingLogPaths, publish_official, refresh
-from tabulon.schemas import CHURN_CATEGORICAL, CHURN_NUMERIC, READINGS
+from tabulon.plans.reading_log import ReadingLogPaths, log_rows, publish_official, refresh, save_override
+from tabulon.schemas import BOARD_OVERRIDES, CHURN_CATEGORICAL, CHURN_NUMERIC, READING_OVERRIDES, READINGS
 from tabulon.session import build_session
 from tabulon.sources.readers import read_csv
 
@@ -30,8 +30,14 @@ def parser() -> argparse.ArgumentParser:
     tune.add_argument("--n-iter", type=int, default=20)
     tune.add_argument("--cv", type=int, default=5)
     job("official", "clean an exported price sheet", "sheet", "target")
-    job("refresh", "derive the reading log and write its exports", "readings",
-        "reading_overrides", "board_overrides", "official", "dataset", "json_export", "public_export")
+    outputs = ("reading_overrides", "board_overrides", "official", "dataset", "json_export", "public_export")
+    again = job("refresh", "derive the reading log and write its exports", "readings", *outputs)
+    again.add_argument("--stored", action="store_true", help="the readings are the dataset of an earlier run")
+    build = job("build", "build the log from metadata, readings and places (Parquet)", "dumps", "recognised", "places", *outputs)
+    build.add_argument("--previous", help="dataset of an earlier run whose rows are reused")
+    build.add_argument("--force", action="store_true", help="build every row anew")
+    correct = job("correct", "put corrections into an override table", "corrections", "current", "target")
+    correct.add_argument("--board", action="store_true", help="corrections of board prices")
     return out
 
 
@@ -53,11 +59,22 @@ def main(argv: list[str] | None = None) -> None:
         print(results[0].model_name, evaluate_model(results[0].best_model, test))
     elif a.job == "official":
         publish_official(spark, a.sheet, a.target)
+    elif a.job == "correct":
+        schema = BOARD_OVERRIDES if a.board else READING_OVERRIDES
+        save_override(spark, read_csv(spark, a.corrections, schema, multi_line=True), a.current, a.target, a.board)
     else:
         paths = ReadingLogPaths(
             a.reading_overrides, a.board_overrides, a.official, a.dataset, a.json_export, a.public_export
         )
-        refresh(spark, read_csv(spark, a.readings, READINGS), paths, notes_are_array=False)
+        if a.job == "build":
+            previous = spark.read.parquet(a.previous) if a.previous else None
+            dumps, recognised, places = (spark.read.parquet(p) for p in (a.dumps, a.recognised, a.places))
+            refresh(spark, log_rows(dumps, recognised, places, previous, a.force), paths)
+        elif a.stored:
+            stored = spark.read.parquet(a.readings)
+            refresh(spark, stored, paths, dict(stored.dtypes)["notes"].startswith("array"))
+        else:
+            refresh(spark, read_csv(spark, a.readings, READINGS), paths, notes_are_array=False)
 
 
 if __name__ == "__main__":

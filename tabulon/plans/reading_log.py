@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,15 @@ from pyspark.sql import functions as F
 from tabulon.operators.clean import clean_official
 from tabulon.operators.features import public_export
 from tabulon.operators.flags import flag_board, flag_readings
+from tabulon.operators.lookup import locate
 from tabulon.operators.ordering import chronological
 from tabulon.operators.overrides import (
     apply_board_overrides, apply_reading_overrides, latest_overrides, upsert_overrides,
 )
-from tabulon.schemas import BOARD_OVERRIDES, OFFICIAL, READING_OVERRIDES
+from tabulon.schemas import BOARD_OVERRIDES, GEO_FIELDS, OFFICIAL, READING_OVERRIDES
 from tabulon.session import scratch_path
+from tabulon.sources.incremental import reuse_and_new, unprocessed
+from tabulon.sources.metadata import flatten_reading, metadata_fields
 from tabulon.sources.readers import read_or_empty, read_published_sheet
 from tabulon.sources.writers import write_csv, write_json, write_layer
 
@@ -47,6 +51,27 @@ def _last_per_key(rows: DataFrame, key: str) -> DataFrame:
     return latest_overrides(rows.withColumn("_entered", entered), key, ["_entered"])
 
 
+def log_rows(
+    dumps: DataFrame,
+    recognised: DataFrame,
+    places: DataFrame,
+    previous: DataFrame | None = None,
+    force: bool = False,
+    place_fields: Sequence[str] = GEO_FIELDS,
+) -> DataFrame:
+    """One raw row per photo of ``dumps`` (``filename``, ``metadata`` as JSON).
+
+    Photos that ``previous`` holds are taken over from it, the others are built from
+    their metadata, their reading in ``recognised`` (``filename``, ``pump``, ``board``;
+    no reading gives empty fields) and their place. Under ``force`` all are built.
+    Photos no longer in ``dumps`` leave the log.
+    """
+    todo = dumps if previous is None else unprocessed(dumps, previous, "filename", force)
+    read = metadata_fields(todo, "metadata").drop("metadata").join(recognised, "filename", "left")
+    fresh = locate(flatten_reading(read), places, fields=place_fields)
+    return fresh if previous is None or force else reuse_and_new(previous, fresh, dumps, "filename")
+
+
 def derive_log(
     readings: DataFrame,
     reading_overrides: DataFrame,

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulon import jobs
 from tabulon.functions.coerce import to_date_any
 from tabulon.operators.split import stratified_folds, stratified_split
-from tabulon.plans.reading_log import _last_per_key
-from tabulon.schemas import READING_OVERRIDES
+from tabulon.plans.reading_log import _last_per_key, log_rows
+from tabulon.schemas import BOARD_OVERRIDES, GEO_FIELDS, OFFICIAL, READING_OVERRIDES
 from tabulon.sources import read_csv, read_or_empty, read_published_sheet
 from tabulon.sources.writers import write_csv
 
@@ -53,3 +54,49 @@ def test_wide_sheets_are_read_whole(spark, tmp_path):
     path = tmp_path / "sheet.csv"
     path.write_text("title\n" + ",".join([*(f"c{i}" for i in range(90)), "DATE"]) + "\n" + ",".join([*"0" * 90, "2024-01-01"]) + "\n")
     assert "2024-01-01" in [r["day"] for r in read_published_sheet(spark, str(path), {"DATE": "day"}).collect()]
+
+
+@pytest.fixture
+def photos(spark):
+    board = "struct<prices_raw: map<string,string>, crop_paths: map<string,string>, notes: array<string>>"
+    dumps = spark.createDataFrame([("a", '{"Model": "new", "GPSLatitude": 1.0, "GPSLongitude": 2.0}'), ("b", "{}"), ("c", None)],
+                                  "filename string, metadata string")
+    recognised = spark.createDataFrame(
+        [("a", ("15000", "5000", ["lcd_found"]), ({"v-power": "3100"}, {"diesel": "crop"}, ["x", "y"]))],
+        f"filename string, pump struct<total_raw: string, gallons_raw: string, notes: array<string>>, board {board}")
+    places = spark.createDataFrame([(1.0, 2.0, "Town")], "lat4 double, lon4 double, city string")
+    return dumps, recognised, places
+
+
+def test_log_takes_over_built_rows_unless_forced(spark, photos):
+    previous = spark.createDataFrame([("a", "old"), ("gone", "old")], "filename string, camera_model string")
+
+    def models(*args, **more):
+        rows = log_rows(*photos, *args, place_fields=["city"], **more).collect()
+        return sorted((r["filename"], r["camera_model"], r["geo_city"]) for r in rows)
+
+    built = [("a", "new", "Town"), ("b", None, None), ("c", None, None)]
+    assert models() == models(previous, force=True) == built
+    assert models(previous) == [("a", "old", None), *built[1:]]
+
+
+def test_log_jobs_feed_each_other(spark, photos, tmp_path):
+    """Build, correct and refresh from the stored dataset."""
+    at = lambda name: str(tmp_path / name)
+    names = ["dumps", "recognised", "places"]
+    full = photos[2].select("lat4", "lon4", *[(F.col("city") if f == "city" else F.lit(None).cast("string")).alias(f) for f in GEO_FIELDS])
+    for name, table in zip(names, [*photos[:2], full]):
+        table.write.parquet(at(name))
+    official = spark.createDataFrame([], OFFICIAL)
+    write_csv(official, at("official"))
+    outputs = ["official", "d1", "j1", "p1"]
+    jobs.main(["build", *map(at, [*names, "none", "board0", *outputs])])
+    first = {r["filename"]: r for r in spark.read.parquet(at("d1")).collect()}
+    assert first["a"]["total_gtq"] == 150.0 and first["a"]["geo_city"] == "Town" and first["a"]["board_notes"] == "x;y"
+    values = {**dict.fromkeys(BOARD_OVERRIDES.names), "filename": "b", "price_diesel_gtq": 25.5, "note": "two\nlines"}
+    write_csv(spark.createDataFrame([tuple(values[n] for n in BOARD_OVERRIDES.names)], BOARD_OVERRIDES), at("typed"))
+    jobs.main(["correct", at("typed"), at("board0"), at("board1"), "--board"])
+    jobs.main(["refresh", "--stored", *map(at, ["d1", "none", "board1", "official", "d2", "j2", "p2"])])
+    second = {r["filename"]: r for r in spark.read.parquet(at("d2")).collect()}
+    assert second.keys() == first.keys() and second["a"]["total_gtq"] == 150.0
+    assert second["b"]["price_diesel_gtq"] == 25.5 and second["b"]["board_override_note"] == "two\nlines"
