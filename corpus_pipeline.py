@@ -61,17 +61,17 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, rounded to whole copies; wordless texts stay once."""
+    """Each document in whole copies, so that every source has the words the mix takes of it; wordless texts stay once."""
     key = F.struct(*[(_content(docs) if c == "text" else F.col(c)).alias(f"c{n}") for n, c in enumerate(docs.columns)])
     rows = _whole(docs).withColumn("_key", F.struct(*[
         (F.unhex(F.md5("text")) if c == "text" else F.col("_doc")[c]).alias(f"c{n}") for n, c in enumerate(docs.columns)]))
     sizes = docs.select(key.alias("doc_id"), "source", n_words(F.col("text")).alias("size"))
-    mixed = mixing.mix_sources(sizes).groupBy(F.col("doc_id").alias("_mixed")).agg(
-        F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-    joined = rows.join(mixed, rows["_key"] == mixed["_mixed"])
-    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
-    return joined.withColumn("_copies", copies).filter("_copies > 0").select(
-        "_doc", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_doc.*")
+    copies = mixing.whole_copies(mixing.mix_sources(sizes)).filter("copies > 0").withColumnRenamed("doc_id", "_mixed")
+    worded = F.coalesce(F.rlike("text", F.lit(WORD)), F.lit(False))
+    # Copies are those of all rows that are equal, so one of these stands for them.
+    joined = rows.filter(worded).dropDuplicates(["_key"]).join(copies, F.col("_key") == F.col("_mixed"))
+    mixed = joined.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_doc.*")
+    return mixed.unionByName(rows.filter(~worded).select("_doc.*"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

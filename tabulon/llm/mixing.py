@@ -13,6 +13,7 @@ from tabulon.llm.sharding import permute
 
 BLOCK_WORDS = 256
 SLOTS_PER_SHARD = 4096
+PART = 1 << 30  # a whole copy, in the units in which parts of copies are summed
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
@@ -160,3 +161,28 @@ def mix_sources(sizes: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS
     # Within a source only documents without words share a start, and those have no part.
     return docs.join(taken, ["_s", "_start", "size"], "left").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def whole_copies(mixed: DataFrame, seed: int = 11, rows_per_bucket: int = 20_000) -> DataFrame:
+    """Whole copies of each document for the words that ``mix_sources`` took: (``doc_id``, ``copies``), a row per doc_id.
+
+    The parts of copies left over are summed along each source's documents, from
+    short ones to long ones, from a seeded start; a document gets one copy more
+    where the sum passes a whole number. So each is rounded up as often as its
+    part says, errors are carried on from one document to the next, and a source
+    is off its words by little more than its longest document. The order is that
+    of size classes, eight to a doubling, then of a hash. Rows of one
+    doc_id have one size and source and share its copies; those without words get none.
+    """
+    per = mixed.filter("size > 0").groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"))
+    per = per.withColumn("_class", F.floor(F.log2("size") * 8).cast("int"))
+    per = stage(per.withColumn("_part", F.floor(F.expr("taken % size") / F.col("size") * PART).cast("long")), "mix-parts")
+    buckets = max(1, math.ceil(per.count() / rows_per_bucket))
+    shorter = W.partitionBy("source").orderBy("_class").rowsBetween(W.unboundedPreceding, -1)
+    classes = per.groupBy("source", "_class").agg(F.sum("_part").alias("_t")).select(
+        F.col("source").alias("_source"), F.col("_class").alias("_c"), F.coalesce(F.sum("_t").over(shorter), F.lit(0)).alias("_below"))
+    rows = running_start(per, ["source", "_class"], F.col("_part"), ["doc_id", "size"], "_ahead", buckets)
+    rows = rows.join(classes, rows["source"].eqNullSafe(classes["_source"]) & (rows["_class"] == classes["_c"]))
+    at = F.col("_below") + F.col("_ahead") + F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(PART))
+    more = F.shiftright(at + F.col("_part"), 30) - F.shiftright(at, 30)
+    return rows.select("doc_id", (F.expr("taken div size") + more).cast("int").alias("copies"))

@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from test_native import plain_spans
+from test_native import plain_spans, plain_targets
 from test_text import WORDS, plain_classes
 from tests_llm_languages import make
 
@@ -67,3 +67,29 @@ def test_empty_documents(spark):
     for name, step in corpus_pipeline.STAGES:
         docs = stage(step(spark, docs, ""), f"empty-{name}")
         assert docs.count() == 0
+
+
+def test_mixture_keeps_each_sources_words(spark):
+    rows, n = [], 0
+    for k in range(20):
+        for i in range(40 if k == 1 else 20):  # s01: ten blocks a document, a fifth of all words, a ratio near 0.3
+            size = 2560 + i if k == 1 else 700 + 30 * i + 7 * k
+            rows.append((n := n + 1, f"t{n} " + "w " * (size - 1), "aa", f"s{k:02d}", size, 0, ""))
+    rows += [rows[0]] * 3 + [(None, " .", None, "s01", 1, 0, "")] * 2 + [(None, f"n{i} " + "w " * 99, None, None, 1, 0, "") for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = [tuple(r) for r in corpus_pipeline.mixture(spark, docs.repartition(3), "").collect()]
+    sizes, got, longest = Counter(), Counter(), Counter()
+    for r in rows:
+        size = len(WORDS.findall(r[1]))
+        sizes[r[3]] += size
+        longest[r[3]] = max(longest[r[3]], size)
+    for r in out:
+        got[r[3]] += len(WORDS.findall(r[1]))
+    want = plain_targets(sizes)
+    assert want["s01"] < 0.4 * sizes["s01"]
+    for s in sizes:
+        assert abs(got[s] - want[s]) <= 1.1 * longest[s] + 0.01 * want[s], (s, got[s], want[s], sizes[s])
+    kept = len({r[0] for r in out if r[3] == "s01" and r[0]})
+    assert abs(kept - 40 * want["s01"] / sizes["s01"]) <= 2
+    assert not set(out) - set(rows) and Counter(out)[rows[-31]] == 2
+    assert Counter(out) == Counter(tuple(r) for r in corpus_pipeline.mixture(spark, docs.repartition(5), "").collect())
