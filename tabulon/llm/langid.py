@@ -17,6 +17,7 @@ from tabulon.llm.common import Words, chunks, mix
 CELLS = 1 << 16
 SMOOTHING = 0.05
 UNDETERMINED = "und"
+KNOWN_SHARE = 2 / 3
 
 
 @dataclass(frozen=True)
@@ -158,12 +159,41 @@ def predict(texts: pa.Array, model: LanguageModel) -> tuple[list[str | None], np
     return [model.languages[k] for k in top], share[np.arange(rows), top], share
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def floors(model: LanguageModel) -> np.ndarray:
+    """Per language the log-likelihood a byte that its words reach: halfway from what its own texts have to that of chance.
+
+    Its own texts have the negative entropy of its cells, chance has 1 / ``CELLS`` for each; a language without
+    any learned word has no floor (infinite).
+    """
+    own, chance = (np.exp(model.log_p) * model.log_p).sum(axis=0), -np.log(CELLS)
+    return np.where(own > chance + 1e-6, (own + chance) / 2, np.inf)
+
+
+def known_share(texts: pa.Array, model: LanguageModel) -> np.ndarray:
+    """Per lower-case text the share of its words with letters that reach the floor of a learned language.
+
+    A letter is a to z or any byte beyond ASCII. 1 where there is no such word, or nothing was learned.
+    """
+    words, least = Words(texts), floors(model)
+    cells, at = _grams(words)
+    letter = np.concatenate([[0], np.cumsum(((words.data >= 97) & (words.data <= 122)) | (words.data >= 128))])
+    lettered = letter[words.end] > letter[words.start]
+    if not lettered.any() or not len(model.languages) or np.isinf(least).all():
+        return np.ones(words.rows)
+    size, reached = words.end - words.start, np.zeros(len(at), dtype=bool)
+    for k in range(len(model.languages)):
+        reached |= np.add.reduceat(model.log_p[cells, k], at) >= least[k] * size
+    total = np.bincount(words.doc, lettered, words.rows)
+    return np.where(total > 0, np.bincount(words.doc, lettered & reached, words.rows) / np.maximum(total, 1), 1.0)
+
+
+def identify(docs: DataFrame, model: LanguageModel, known: float = 0.0) -> DataFrame:
     """Add ``lang_pred``, ``score`` (its share of the words) and ``lang_shares`` (of every selected language).
 
     Only ``text`` is read. ``und``, score 0, stands for a text that is null or
-    has no letter, and for every text if no language was learned. Whole texts;
-    rows stay where they are; input columns with the result's names are replaced.
+    has no letter, and for every text if no language was learned; also for a text
+    of whose words less than ``known`` reach a learned language's floor
+    (``known_share``). Whole texts; rows stay where they are; input columns with the result's names are replaced.
     """
     added = ["lang_pred", "score", "lang_shares"]
     rest = docs.drop(*added)
@@ -181,7 +211,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             else:
                 names, scores, share = [UNDETERMINED] * part.num_rows, np.zeros(part.num_rows), np.zeros((part.num_rows, 0))
             names, scores, maps = list(names), scores.copy(), []
-            for i, ok in enumerate(part["letters"].to_pylist()):
+            told = part["letters"].to_numpy(zero_copy_only=False)
+            if known > 0:
+                told = told & (known_share(part["text"], learned) >= known)
+            for i, ok in enumerate(told):
                 if not ok:
                     names[i], scores[i] = UNDETERMINED, 0.0
                 maps.append([(x, float(s)) for x, s in zip(learned.languages, share[i]) if s > 1e-3] if ok else [])

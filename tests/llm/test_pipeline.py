@@ -93,3 +93,17 @@ def test_mixture_keeps_each_sources_words(spark):
     assert abs(kept - 40 * want["s01"] / sizes["s01"]) <= 2
     assert not set(out) - set(rows) and Counter(out)[rows[-31]] == 2
     assert Counter(out) == Counter(tuple(r) for r in corpus_pipeline.mixture(spark, docs.repartition(5), "").collect())
+
+
+def test_language_rejects_what_no_label_taught(spark, documents):
+    foreign = [(900, "Съешь ещё этих мягких французских булок, да выпей же чаю", None, "s1", 1, 0, ""),
+               (901, "これは 日本語の 文章です まだ 習って いません", None, "s1", 1, 0, ""),
+               (902, "whiff glyph nymph jabbing quickly wizard foxes vexed puzzling", "", None, 1, 0, "")]
+    mixed = (903, documents[0][1] + " " + documents[1][1] + " 12 булок 99 password=0a1b2c3d4e", None, "s1", 1, 0, "")
+    rows = documents + [(*r[:2], None, *r[3:]) for r in foreign] + [mixed]
+    out = corpus_pipeline.language(spark, spark.createDataFrame(rows, SCHEMA), "")
+    lettered = [r for r in documents if r[1] and any(c.isalpha() for c in r[1])]
+    assert Counter(tuple(r) for r in out.collect()) == Counter([*lettered, mixed])
+    unlabelled = [(*r[:2], None, *r[3:]) for r in documents + foreign]
+    out = corpus_pipeline.language(spark, spark.createDataFrame(unlabelled, SCHEMA), "")
+    assert Counter(tuple(r) for r in out.collect()) == Counter((*r[:2], None, *r[3:]) for r in lettered + foreign)
