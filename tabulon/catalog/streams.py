@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.catalog import standins as S
@@ -49,16 +52,26 @@ def stream_ingest(spark, folder):
     return spark.read.parquet(f"{out}/table")
 
 
+def land_by_week(events: DataFrame, path: str, rows_per_file: int = 20_000) -> DataFrame:
+    """Write events under their week, cut by range so that tasks and files hold about ``rows_per_file`` rows at most.
+
+    The number of ranges grows with the rows, and the cut points are Spark's own sample of (week, ts, event_id), so a
+    week with a burst goes to as many tasks and files as its rows ask for.
+    """
+    weekly = events.withColumn("week", F.weekofyear("ts"))
+    order, ranges = ["week", "ts", "event_id"], max(1, math.ceil(events.count() / rows_per_file))
+    return write_layer(weekly.repartitionByRange(ranges, *order).sortWithinPartitions(*order), path, partition_by=["week"])
+
+
 @query("""
 SELECT user_id, event_id, event_type, round(value * 2, 4) AS doubled FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1""")
 def stream_merge(spark, folder):
-    """Events land as one file per week; each file is one micro-batch upserted by user."""
+    """Events land in one or more files per week; each file is one micro-batch upserted by user."""
     out = scratch_path(spark, "merge")
     events = table(spark, folder, "events")
-    weekly = events.withColumn("week", F.weekofyear("ts"))
-    write_layer(weekly.repartition("week").sortWithinPartitions("ts", "event_id"), f"{out}/landing", partition_by=["week"])
+    land_by_week(events, f"{out}/landing")
     stream = file_stream(spark, f"{out}/landing/*", events.schema, files_per_batch=1)
     merge_stream(
         stream, f"{out}/log", f"{out}/checkpoint", ["user_id"], ["ts", "event_id"],

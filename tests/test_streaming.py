@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
+from tabulon.catalog.streams import land_by_week
 from tabulon.session import scratch_path, shared_folder
 from tabulon.streaming import file_stream, ingest_new_files, latest_versions, merge_stream
 
@@ -59,3 +62,14 @@ def test_scratch_paths_are_fresh_and_shared(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_folder(spark) == named.rstrip("/")
+
+
+def test_a_burst_week_lands_in_several_files(spark, tmp_path):
+    events = spark.range(1100).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") >= 1090, None).when(F.col("id") < 1000, F.timestamp_seconds(F.col("id") % 7 + 1_600_000_000))
+        .otherwise(F.timestamp_seconds(1_600_000_000 + 604_800 * (F.col("id") % 5 + 1))).alias("ts"))
+    landed = land_by_week(events, str(tmp_path / "landing"), rows_per_file=100)
+    assert sorted(map(str, landed.select("event_id", "ts").collect())) == sorted(map(str, events.collect()))
+    burst = landed.filter("event_id < 1000").select("week", F.input_file_name().alias("file")).collect()
+    files = Counter(r["file"] for r in burst)
+    assert len({r["week"] for r in burst}) == 1 and len(files) >= 8 and max(files.values()) <= 250
