@@ -21,7 +21,7 @@ def _whole(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: a null text, one without a letter, or one in a language that no label taught.
 
-    The last are those of whose words under two thirds reach the floor of a learned language. Null langs teach
+    The last are those of whose words under half reach the floor of a learned language. Null langs teach
     nothing; if all are null, only texts without a letter go.
     """
     model = langid.fit_languages(docs.select("doc_id", "text", "lang"))

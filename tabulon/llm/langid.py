@@ -17,7 +17,7 @@ from tabulon.llm.common import Words, chunks, mix
 CELLS = 1 << 16
 SMOOTHING = 0.05
 UNDETERMINED = "und"
-KNOWN_SHARE = 2 / 3
+KNOWN_SHARE = 1 / 2
 
 
 @dataclass(frozen=True)
