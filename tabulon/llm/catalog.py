@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import langid, minhash, mixing, packing, secrets, sharding, substring, tokens, topk, vptree
+from tabulon.llm import (decontaminate, langid, minhash, mixing, packing, prefixes, repair, secrets, sharding, substring, tokens, topk, twins,
+                         vptree)
 from tabulon.llm.common import n_words, read_table, stage
 
 
@@ -92,6 +93,24 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vptree.nearest(read_table(spark, folder, "embeddings"))
 
 
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of all conversations, each beginning with turns of the first of its hundred."""
+    turns = stage(prefixes.numbered_turns(read_table(spark, folder, "conversations")), "turns-numbered")
+    return prefixes.prefix_trie(prefixes.branched(turns))
+
+
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, read_table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_digest(read_table(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_viterbi_counts": op8,
     "op9_tiled_top_k": op9,
     "op10_vantage_trees": op10,
+    "op11_prefix_rollup": op11,
+    "op12_word_automaton": op12,
+    "op13_run_length_repair": op13,
     "pipeline": pipeline,
 }
 
@@ -161,9 +183,9 @@ FROM rows LEFT JOIN per USING (rid)
 
 _OP9 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS e FROM embeddings
+  SELECT DISTINCT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
   FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
@@ -171,4 +193,7 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM s QUALIFY rank <= 20
 """
 
-SQL: dict[str, str] = {"op3_super_kmers": _OP3, "op5_blob_ledger": _OP5, "op9_tiled_top_k": _OP9}
+SQL: dict[str, str] = {
+    "op3_super_kmers": _OP3, "op5_blob_ledger": _OP5, "op9_tiled_top_k": _OP9, "op11_prefix_rollup": twins.TRIE,
+    "op12_word_automaton": twins.LEAKS, "op13_run_length_repair": twins.REPAIR,
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulon.session import scratch_path
 
@@ -70,6 +72,44 @@ def running_start(
     )
 
 
+def ordered_sha256(pieces: DataFrame, keys: list[str], order: list[str], piece: str, separator: str, out: str) -> DataFrame:
+    """SHA-256 (lowercase hex) of each key's pieces in order, joined by ``separator``: (``keys``, ``out``).
+
+    Pieces are sorted within tasks and stream through a running hash, so a key of any size needs no memory of its
+    own; a hash is one sequence, so one key stays in one task. Null pieces are empty.
+    """
+    sorted_rows = pieces.select(*keys, *order, piece).repartition(*keys).sortWithinPartitions(*keys, *order)
+    schema = T.StructType([*pieces.select(*keys).schema.fields, T.StructField(out, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types: list[pa.DataType] = []
+        last, digest, done = None, None, []
+        for batch in batches:
+            types = [batch.schema.field(k).type for k in keys]
+            for row in zip(*[batch[c].to_pylist() for c in [*keys, piece]]):
+                key, text = row[:-1], (row[-1] or "").encode()
+                if digest is not None and key == last:
+                    digest.update(between)
+                    digest.update(text)
+                else:
+                    if digest is not None:
+                        done.append((*last, digest.hexdigest()))
+                    last, digest = key, hashlib.sha256(text)
+            if done:
+                yield as_batch(done, types)
+                done = []
+        if digest is not None:
+            yield as_batch([(*last, digest.hexdigest())], types)
+
+    between = separator.encode()
+
+    def as_batch(rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), [*types, pa.string()])], names=[*keys, out])
+
+    return sorted_rows.mapInArrow(run, schema)
+
+
 def star_forest(links: DataFrame, name: str) -> DataFrame:
     """Each node of ``links`` (a, b) that isn't the smallest of its component, under the smallest: (node, root).
 
