@@ -1,4 +1,4 @@
-"""Benchmark decontamination: one Aho-Corasick automaton over the words of normalised test texts."""
+"""Benchmark decontamination: one Aho-Corasick automaton over normalised test texts."""
 
 from __future__ import annotations
 
@@ -18,8 +18,8 @@ from tabulon.llm.common import chunks, stage
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: Words of windows in one automaton at most (a node a word); more windows make more automata, one pass each.
-AUTOMATON_WORDS = 3_000_000
+#: Bytes of windows in one automaton (at most a node of 40 bytes each); more make more automata, one pass each.
+AUTOMATON_BYTES = 3_000_000
 
 # The same rule on UTF-8 bytes: bytes from 0x80 on belong to words, other separators become spaces.
 _FOLD = bytes(b if b >= 0x80 or chr(b) in LOWER + "0123456789" else b + 32 if chr(b) in UPPER else 32 for b in range(256))
@@ -43,32 +43,37 @@ def item_windows(items: DataFrame, fields: Sequence[str] = ("text",), width: int
     return each.groupBy("words").agg(F.sort_array(F.collect_set("_id")).alias("ids"))
 
 
+def normalised(folded: bytes) -> bytes:
+    """Words with one space before, between and after them."""
+    text = b" " + folded + b" "
+    while b"  " in text:  # halves every run of spaces
+        text = text.replace(b"  ", b" ")
+    return text
+
+
 class Automaton:
-    """The windows of one broadcast as an automaton over word numbers; a document word of no window is 0."""
+    """The windows of one broadcast, each with a space at both ends, so that it matches whole words only."""
 
     def __init__(self, windows: list[tuple[str, list[str]]]):
-        self.number: dict[bytes, int] = {}
         self.ids = [ids for _, ids in windows]
         self.size: list[int] = []
-        self.trie = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        self.trie = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for n, (words, _) in enumerate(windows):
-            key = tuple(self.number.setdefault(w, len(self.number) + 1) for w in words.encode().split(b" "))
-            self.size.append(len(key))
-            self.trie.add_word(key, n)
+            text = b" " + words.encode() + b" "
+            self.size.append(len(text))
+            self.trie.add_word(text.decode("latin-1"), n)  # a character a byte
         if windows:
             self.trie.make_automaton()
 
-    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-        """Merged half-open runs of hit words, and the windows found."""
-        get = self.number.get
-        numbers = tuple([get(w, 0) for w in words])
-        runs: list[tuple[int, int]] = []
-        found: set[int] = set()
-        if self.ids and any(numbers):
-            for last, n in self.trie.iter(numbers):
-                found.add(n)
-                runs.append((last + 1 - self.size[n], last + 1))
-        return merge_runs(runs), found
+    def find(self, text: bytes) -> tuple[list[tuple[int, int]], set[int]]:
+        """Merged half-open runs of hit words in a normalised text, and the windows found."""
+        hits = list(self.trie.iter(text.decode("latin-1"))) if self.ids else []
+        if not hits:
+            return [], set()
+        last, n = np.array([h[0] for h in hits]), np.array([h[1] for h in hits])
+        spaces = np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == 32)
+        first = np.searchsorted(spaces, last + 1 - np.array(self.size)[n])
+        return merge_runs(list(zip(first.tolist(), np.searchsorted(spaces, last).tolist()))), set(n.tolist())
 
 
 def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -112,7 +117,7 @@ def _scan(rows: DataFrame, windows: Broadcast) -> DataFrame:
             out = []
             for text, before in zip(part["text"].to_pylist(), part["found"].to_pylist()):
                 folded = (text or "").encode().translate(_FOLD)
-                words = folded.split()
+                words = normalised(folded)
                 runs, hit = automaton.find(words)
                 ids = {i for n in hit for i in automaton.ids[n]}
                 if before:
@@ -122,7 +127,7 @@ def _scan(rows: DataFrame, windows: Broadcast) -> DataFrame:
                 if runs:
                     start, end = word_bounds(folded)
                     spans = [{"start": int(start[a]), "end": int(end[b - 1])} for a, b in runs]
-                out.append({"runs": [{"a": a, "b": b} for a, b in runs], "ids": sorted(ids), "n_words": len(words), "spans": spans})
+                out.append({"runs": [{"a": a, "b": b} for a, b in runs], "ids": sorted(ids), "n_words": words.count(b" ") - 1, "spans": spans})
             found = pa.array(out, part.schema.field("found").type)
             yield pa.RecordBatch.from_arrays([part["_doc"], part["text"], found], names=["_doc", "text", "found"])
 
@@ -130,14 +135,14 @@ def _scan(rows: DataFrame, windows: Broadcast) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, fields: Sequence[str] = ("text",), width: int = WINDOW,
-                  automaton_words: int = AUTOMATON_WORDS) -> DataFrame:
+                  automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """Add to each document what of the test items (``item_id``, ``fields``) it holds.
 
     ``n_words``; ``n_hit``, its words inside any occurrence of a window; ``items``, the sorted ids (as text) of the
     items with such windows; ``spans``, the hit stretches of the original text as (start, end) in code points.
 
     All windows go into one automaton, which reads every whole text once. It is broadcast, so its size is
-    checked first: windows of more than ``automaton_words`` words are dealt to several automata by a hash of the
+    checked first: windows of more than ``automaton_bytes`` bytes are dealt to several automata by a hash of the
     window, each collected, broadcast and run in a pass of its own, with the hits of all passes merged in the row;
     nothing is left out. Windows can't be cut by documents, which are never shuffled.
 
@@ -148,8 +153,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, fields: Sequence[str] = ("t
     """
     spark = docs.sparkSession
     windows = stage(item_windows(items, fields, width), "item-windows")
-    total = windows.agg(F.sum(F.size(F.split("words", " ")) + F.size("ids"))).first()[0] or 0
-    parts = max(1, math.ceil(total / automaton_words))
+    total = windows.agg(F.sum(F.octet_length("words") + F.size("ids"))).first()[0] or 0
+    parts = max(1, math.ceil(total / automaton_bytes))
     kept = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "spans")]
     rows = docs.select(F.struct(*kept).alias("_doc"), "text", F.lit(None).cast(_STATE).alias("found"))
     for n in range(parts):
