@@ -4,10 +4,11 @@ from tabulon.ml.evaluate import ClassificationMetrics, evaluate_model
 from tabulon.ml.models import InverseStrengthLogisticRegression, build_model, default_classifier
 from tabulon.ml.prepare import TabularPreparer
 from tabulon.ml.score import load_model, save_model, score
+from tabulon.ml.substitutes import SubstituteIndex, fit_substitutes, nearest_substitutes
 from tabulon.ml.tune import SEARCH_SPACES, TuningResult, tune_all_models, tune_model, tuning_table
 
 __all__ = [
-    "ClassificationMetrics", "InverseStrengthLogisticRegression", "SEARCH_SPACES", "TabularPreparer",
-    "TuningResult", "build_model", "default_classifier", "evaluate_model", "load_model", "save_model",
+    "ClassificationMetrics", "InverseStrengthLogisticRegression", "SEARCH_SPACES", "SubstituteIndex", "TabularPreparer",
+    "TuningResult", "build_model", "default_classifier", "evaluate_model", "fit_substitutes", "load_model", "nearest_substitutes", "save_model",
     "score", "tune_all_models", "tune_model", "tuning_table",
 ]
