@@ -1,48 +1,17 @@
-"""Text to number or date; whatever does not parse becomes null."""
+"""Text to number; whatever does not parse becomes null."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Shapes of text and the patterns to try for each, month before day where both fit.
-DATE_PATTERNS = (
-    (r"\d{4}-\d{1,2}-\d{1,2}", ("yyyy-M-d",)),
-    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}", ("yyyy-M-d H:mm:ss",)),
-    (r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}", ("yyyy-M-d'T'H:mm:ss",)),
-    (r"\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d",)),
-    (r"\d{1,2}/\d{1,2}/\d{4}", ("M/d/yyyy", "d/M/yyyy")),
-    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", ("d-MMM-yyyy",)),
-    (r"\d{1,2} [A-Za-z]{3} \d{4}", ("d MMM yyyy",)),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", ("MMM d, yyyy",)),
-    (r"[A-Za-z]{4,} \d{1,2}, \d{4}", ("MMMM d, yyyy",)),
-)
-
-
 def to_number(text: Column) -> Column:
     """Double, or null when the text is not a finite-or-infinite number."""
     number = F.trim(text.cast("string")).try_cast("double")
     return F.when(~F.isnan(number), number)
 
 
-def to_date_any(text: Column, patterns: Sequence[tuple[str, Sequence[str]]] = DATE_PATTERNS) -> Column:
-    """Date of text in any of the known shapes; null when its shape is unknown or no pattern of it parses.
-
-    A cheap look at the shape comes first: parsing only text that can succeed is
-    many times faster than recovering from failures.
-    """
-    trimmed = F.trim(text.cast("string"))
-    out = None
-    for shape, tried in patterns:
-        parsed = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(p)).cast("date") for p in tried])
-        fits = trimmed.rlike(f"^{shape}$")
-        out = F.when(fits, parsed) if out is None else out.when(fits, parsed)
-    return out
-
-
 def missing_to_null(df: DataFrame) -> DataFrame:
     """NaN in any floating column becomes null: one notion of missing."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.coerce import DATE_PATTERNS, to_date_any, to_number
+from tabulon.functions.coerce import to_number
+from tabulon.functions.mixed_dates import date_rejects, to_date_any
 from tabulon.operators.ordering import first_per_key
 from tabulon.operators.select import extract_columns
 from tabulon.schemas import CHURN_FEATURES, CHURN_TARGET, CUSTOMER_ID, OFFICIAL_PRICES, TENURE
@@ -49,20 +50,20 @@ def clean_customers(raw: DataFrame, order: Sequence[Column] | None = None, featu
     return kept.drop("_loaded")
 
 
-def clean_official(
-    sheet: DataFrame,
-    sequence: Column,
-    first_day: str = FIRST_OFFICIAL_DAY,
-    patterns: Sequence[str] = DATE_PATTERNS,
-) -> DataFrame:
-    """One row per published day: parsed dates from ``first_day`` on, numeric prices, last entry wins.
+def clean_official(sheet: DataFrame, sequence: Column, first_day: str = FIRST_OFFICIAL_DAY, day_first: bool = False) -> DataFrame:
+    """One row per published day: dates in any common form from ``first_day`` on, numeric prices, last entry wins.
 
-    Lines whose date does not parse (units, footers) drop out. ``sequence`` is the
-    publication order that decides between entries of one day.
+    Lines whose date does not parse (units, footers) drop out; :func:`official_rejects` lists them. ``sequence`` is
+    the publication order that decides between entries of one day.
     """
     dated = sheet.select(
-        to_date_any(F.col("date"), patterns).alias("date"),
+        to_date_any(F.col("date"), day_first).alias("date"),
         *[to_number(F.col(c)).alias(c) for c in OFFICIAL_PRICES],
         sequence.alias("_sequence"),
     ).filter(F.col("date") >= F.lit(first_day).cast("date"))
     return first_per_key(dated, ["date"], [F.col("_sequence").desc()]).drop("_sequence")
+
+
+def official_rejects(sheet: DataFrame, day_first: bool = False) -> DataFrame:
+    """Every date cell that :func:`clean_official` could not read, with the reason and the number of its lines."""
+    return date_rejects(sheet, "date", day_first)

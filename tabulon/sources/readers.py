@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.functions.coerce import missing_to_null, to_date_any, to_number
+from tabulon.functions.coerce import missing_to_null, to_number
+from tabulon.functions.mixed_dates import to_date_any
 
 #: Cells that mean "missing" in a delimited file.
 MISSING_TOKENS = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon import jobs
-from tabulon.functions.coerce import to_date_any
+from tabulon.functions import date_rejects, to_date_any
 from tabulon.operators.split import stratified_folds, stratified_split
 from tabulon.plans.reading_log import _last_per_key, log_rows
 from tabulon.schemas import BOARD_OVERRIDES, GEO_FIELDS, OFFICIAL, READING_OVERRIDES
@@ -23,6 +23,30 @@ def test_dates_of_mixed_shapes(spark):
     assert got == [datetime.date(2021, 1, 5)] * len(same) + [datetime.date(2021, 1, 13), None, None, None]
 
 
+def test_dates_by_the_kinds_of_their_parts(spark):
+    fifth = ["2021-01-05 00:00", "2021-01-05 00:00:00.000", "2021-01-05T00:00:00Z", "5 January 2021", "Jan 5 2021", "20210105", "01.05.2021",
+             "1/5/21", "Tuesday, January 5th, 2021", "5-jan-21", "2021 Jan 5", "5 Jan 2021 10:30 PM", "2021/1/5 23:59:59,5+0100", "JAN. 5, 2021",
+             "2021-01-05t07:00-06:00", "1-5-2021 7:05 a.m.", "20210105 10:11:12", "2021 5 Jan"]
+    other = {"13.01.2021": (13, 1), "25/12/99": None, "Sept 2021": None, "2021-02": None, "3rd of March, 2021": None}
+    rows = spark.createDataFrame([(t,) for t in [*fifth, *other]], "t string")
+    got = {r[0]: r[1] for r in rows.select("t", to_date_any(F.col("t"))).collect()}
+    assert [got[t] for t in fifth] == [datetime.date(2021, 1, 5)] * len(fifth)
+    assert [got[t] for t in other] == [datetime.date(2021, 1, 13), datetime.date(1999, 12, 25), datetime.date(2021, 9, 1),
+                                       datetime.date(2021, 2, 1), datetime.date(2021, 3, 3)]
+    swapped = spark.createDataFrame([("05.01.2021",), ("5/1/21",), ("1/13/2021",)], "t string").select(to_date_any(F.col("t"), day_first=True))
+    assert [r[0] for r in swapped.collect()] == [datetime.date(2021, 1, 5)] * 2 + [datetime.date(2021, 1, 13)]
+
+
+def test_rejected_dates_are_counted_with_their_reason(spark):
+    texts = [None, None, " ", "Unidades:", "Fuente: sheet 7", "2021-02-30", "2021-02-30", "31/31/2021", "12", "2021", "2021-01-05 25:00",
+             "20211301", "1.2.3.4", "Mayo 5 2021", "2021-01-05"]
+    got = {(r["text"], r["reason"]): r["rows"] for r in date_rejects(spark.createDataFrame([(t,) for t in texts], "d string"), "d").collect()}
+    assert got == {
+        (None, "missing"): 2, (" ", "missing"): 1, ("Unidades:", "no date"): 1, ("Fuente: sheet 7", "unknown form"): 1,
+        ("2021-02-30", "no such day"): 2, ("31/31/2021", "no such day"): 1, ("12", "unknown form"): 1, ("2021", "unknown form"): 1,
+        ("2021-01-05 25:00", "unknown form"): 1, ("20211301", "no such day"): 1, ("1.2.3.4", "unknown form"): 1, ("Mayo 5 2021", "unknown form"): 1}
+
+
 def test_unlabelled_rows_stay_apart(spark):
     df = spark.range(100).withColumn("label", F.when(F.col("id") % 10 != 0, F.col("id") % 2))
     split = stratified_split(df, "label", ["id"])
