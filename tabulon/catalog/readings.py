@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tabulon.catalog import standins as S
 from tabulon.catalog.registry import query, table
 from tabulon.functions import (
-    clean_digits, day_of, digits_only, gallons_from_digits, map_labels, pick_corroborated, price_from_digits,
+    clean_digits, day_of, digits_only, gallons_from_digits, map_labels, pick_corroborated, price_from_digits, read_date,
     total_from_digits,
 )
+from tabulon.operators.clean import clean_official, official_rejects
 from tabulon.operators.corroborate import corroborated_rows
 from tabulon.operators.features import lag_features, public_export
 from tabulon.operators.flags import flag_board, flag_readings
@@ -18,10 +19,11 @@ from tabulon.operators.overrides import (
     apply_board_overrides, apply_reading_overrides, board_baseline, split_valid, upsert_overrides,
 )
 from tabulon.operators.select import stack
-from tabulon.plans.reading_log import derive_log, log_rows, save_override
+from tabulon.plans.reading_log import SHEET_COLUMNS, derive_log, log_rows, save_override
 from tabulon.schemas import BOARD_PRICES
 from tabulon.session import scratch_path
 from tabulon.sources.metadata import metadata_fields
+from tabulon.sources.workbook import read_published_workbook
 from tabulon.sources.writers import write_csv, write_layer
 
 
@@ -77,6 +79,37 @@ def official_daily(spark, folder):
     return S.official(spark, folder).withColumn("date", F.col("date").cast("string"))
 
 
+@query("WITH " + S.EVENTS_SQL + "," + S.OFFICIAL_SQL + "SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM official")
+def official_workbook(spark, folder):
+    """The sheet is written as workbooks and read back from them: header on row 7, unit lines, footers, later lines of a day win."""
+    sheet = read_published_workbook(spark, S.workbooks(spark, folder), SHEET_COLUMNS, S.SHEET)
+    daily = clean_official(sheet, F.struct("file", "sheet_row"))
+    return daily.withColumn("date", F.col("date").cast("string"))
+
+
+@query("WITH " + S.EVENTS_SQL + """
+SELECT text, CASE text WHEN 'Unidades:' THEN 'no date' WHEN '2021-02-30' THEN 'no such day' WHEN 'Hoja 7 de 12' THEN 'unknown form'
+                       ELSE 'missing' END AS reason, count(*) AS rows
+FROM (SELECT CASE k % 4 WHEN 0 THEN 'Unidades:' WHEN 1 THEN '2021-02-30' WHEN 3 THEN 'Hoja 7 de 12' END AS text
+      FROM ev WHERE event_type = 'error' OR day(ts) >= 28) GROUP BY text""")
+def official_rejected(spark, folder):
+    """Lines of the price sheet whose day could not be read, by text and reason."""
+    return official_rejects(S.published(spark, folder))
+
+
+_FORMS = [*S.DAY_FORMS, "yyyy-MM-dd", "yyyy/M/d H:mm", "d-MMM-yyyy h:mm a", "dd MMM yy", "yyyy MMM d"]
+
+
+@query("WITH " + S.EVENTS_SQL + """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, 'parsed' AS status FROM ev""")
+def mixed_dates(spark, folder):
+    """Days of all events written in fifteen ways, and read again."""
+    forms = F.array(*[F.date_format("ts", f) for f in _FORMS])
+    text = F.element_at(forms, (F.pmod("event_id", F.lit(len(_FORMS))) + 1).cast("int"))
+    found = table(spark, folder, "events").select("event_id", read_date(text).alias("d"))
+    return found.select("event_id", F.col("d.date").cast("string").alias("day"), "d.status")
+
+
 @query("WITH " + S.READINGS_SQL + "," + S.OFFICIAL_SQL + """
 SELECT filename, exchange_rate_usd_gtq, official_super_gtq, official_regular_gtq, official_diesel_gtq,
   round(price_per_gallon_gtq - official_super_gtq, 6) AS markup

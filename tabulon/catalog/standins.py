@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tabulon.catalog.registry import table
 from tabulon.operators.clean import clean_official
 from tabulon.operators.overrides import latest_overrides
+from tabulon.plans.reading_log import SHEET_COLUMNS
+from tabulon.session import scratch_path
+from tabulon.sources.workbook_writer import write_workbooks
 
 NOTE = "total_assumed_default_not_confirmed_by_ocr"
 
@@ -78,13 +81,23 @@ def board_overrides(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: A publication writes its days in any way that people do; ISO days are true date cells in a workbook.
+DAY_FORMS = (
+    "MM/dd/yyyy", "yyyy-MM-dd HH:mm", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss'Z'", "d MMMM yyyy", "MMM d yyyy", "yyyyMMdd",
+    "MM.dd.yyyy", "M/d/yy", "EEEE, MMMM d, yyyy",
+)
+NO_DAYS = ("Unidades:", "2021-02-30", None, "Hoja 7 de 12")
+SHEET = "PUBLICATION"
+
+
 def published(spark: SparkSession, folder: str) -> DataFrame:
-    """A price sheet with unit lines, two date styles, text prices and repeated days."""
+    """A price sheet with unit lines and impossible days, many date styles, text prices and repeated days."""
     e = events(spark, folder)
     kind, k = F.col("event_type"), F.col("k")
+    written = F.element_at(F.array(*[F.date_format("ts", f) for f in DAY_FORMS]), (k % len(DAY_FORMS) + 1).cast("int"))
+    no_day = F.element_at(F.array(*[F.lit(t) for t in NO_DAYS]), (k % len(NO_DAYS) + 1).cast("int"))
     return e.select(
-        F.when((kind == "error") | (F.dayofmonth("ts") >= 28), "Unidades:")
-        .when(kind == "signup", F.date_format("ts", "MM/dd/yyyy"))
+        F.when((kind == "error") | (F.dayofmonth("ts") >= 28), no_day).when(kind == "signup", written)
         .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("date"),
         F.concat(F.lit(" 7."), k.cast("string")).alias("exchange_rate_usd_gtq"),
         (k + 20).cast("string").alias("official_super_gtq"),
@@ -98,6 +111,20 @@ def official(spark: SparkSession, folder: str) -> DataFrame:
     return clean_official(published(spark, folder), F.col("event_id"))
 
 
+def workbooks(spark: SparkSession, folder: str) -> str:
+    """The sheet as a folder of workbooks: header on row 7 with blanks, columns nobody asked for, unit line, footers."""
+    target = scratch_path(spark, "workbooks")
+    lines = published(spark, folder)
+    iso = F.rlike("date", F.lit(r"^\d{4}-\d\d-\d\d$"))
+    day = F.when(iso, F.col("date").try_cast("date"))
+    lines = lines.withColumns({"_cell": day, "_text": F.col("date"), "_nothing": F.lit(None).cast("string")})
+    names = list(SHEET_COLUMNS)
+    above = [["Publication"], [], ["prices"], [], [], [], [f" {names[0]} ", "Extra", "Old day", *names[1:]], ["Unidades:", None, None, "GTQ/USD"]]
+    columns = [("_cell", "_text"), "event_id", "_nothing", *[SHEET_COLUMNS[n] for n in names[1:]]]
+    write_workbooks(lines, target, "event_id", columns, above, [["Fuente: the ministry"], [None, "end"]], SHEET)
+    return target
+
+
 # --- the same tables in SQL -------------------------------------------------
 
 EVENTS_SQL = """
@@ -137,13 +164,12 @@ merged AS (
 
 OFFICIAL_SQL = """
 sheet AS (
-  SELECT CASE WHEN event_type = 'error' OR day(ts) >= 28 THEN 'Unidades:'
-              WHEN event_type = 'signup' THEN strftime(ts, '%m/%d/%Y') ELSE strftime(ts, '%Y-%m-%d') END AS d,
+  SELECT CASE WHEN event_type <> 'error' AND day(ts) < 28 THEN CAST(ts AS DATE) END AS date,
     ' 7.' || CAST(k AS VARCHAR) AS rate, CAST(k + 20 AS VARCHAR) AS s,
     CASE WHEN k > 60 THEN 'n/d' ELSE CAST(k + 18 AS VARCHAR) END AS r, CAST(k + 16 AS VARCHAR) AS g, event_id
   FROM ev),
 dated AS (
-  SELECT CAST(coalesce(try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%m/%d/%Y')) AS DATE) AS date,
+  SELECT date,
     TRY_CAST(trim(rate) AS DOUBLE) AS exchange_rate_usd_gtq, TRY_CAST(s AS DOUBLE) AS official_super_gtq,
     TRY_CAST(r AS DOUBLE) AS official_regular_gtq, TRY_CAST(g AS DOUBLE) AS official_diesel_gtq, event_id
   FROM sheet),

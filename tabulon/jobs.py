@@ -29,7 +29,8 @@ def parser() -> argparse.ArgumentParser:
     tune.add_argument("--search", choices=["grid", "random"], default="grid")
     tune.add_argument("--n-iter", type=int, default=20)
     tune.add_argument("--cv", type=int, default=5)
-    job("official", "clean an exported price sheet", "sheet", "target")
+    official = job("official", "clean a price sheet: a workbook, a folder of them, or a CSV export", "sheet", "target")
+    official.add_argument("--sheet-name", help="sheet of the workbooks (needed for a folder)")
     outputs = ("reading_overrides", "board_overrides", "official", "dataset", "json_export", "public_export")
     again = job("refresh", "derive the reading log and write its exports", "readings", *outputs)
     again.add_argument("--stored", action="store_true", help="the readings are the dataset of an earlier run")
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         tuning_table(train, results).show(truncate=False)
         print(results[0].model_name, evaluate_model(results[0].best_model, test))
     elif a.job == "official":
-        publish_official(spark, a.sheet, a.target)
+        publish_official(spark, a.sheet, a.target, a.sheet_name)
     elif a.job == "correct":
         schema = BOARD_OVERRIDES if a.board else READING_OVERRIDES
         save_override(spark, read_csv(spark, a.corrections, schema, multi_line=True), a.current, a.target, a.board)

@@ -21,6 +21,7 @@ from tabulon.session import scratch_path
 from tabulon.sources.incremental import reuse_and_new, unprocessed
 from tabulon.sources.metadata import flatten_reading, metadata_fields
 from tabulon.sources.readers import read_or_empty, read_published_sheet
+from tabulon.sources.workbook import read_published_workbook
 from tabulon.sources.writers import write_csv, write_json, write_layer
 
 #: Headers of the published sheet and the columns they become.
@@ -121,10 +122,18 @@ def refresh(
     return stored
 
 
-def publish_official(spark: SparkSession, sheet: str, target: str) -> DataFrame:
-    """Clean one exported price sheet into the reference table; later lines of a day win."""
-    cells = read_published_sheet(spark, sheet, SHEET_COLUMNS)
-    line = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+def publish_official(spark: SparkSession, sheet: str, target: str, sheet_name: str | None = None) -> DataFrame:
+    """Clean a published price sheet into the reference table; later lines of a day win.
+
+    ``sheet`` is a workbook (``.xlsx``), a folder of workbooks if ``sheet_name`` is given, or else a CSV export.
+    Workbooks of a folder count in the order of their names.
+    """
+    if sheet_name or sheet.endswith(".xlsx"):
+        cells = read_published_workbook(spark, sheet, SHEET_COLUMNS, sheet_name)
+        line = F.struct("file", "sheet_row")
+    else:
+        cells = read_published_sheet(spark, sheet, SHEET_COLUMNS)
+        line = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     write_csv(clean_official(cells, line), target)
     return read_or_empty(spark, target, OFFICIAL)
 
