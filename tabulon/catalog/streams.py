@@ -17,7 +17,9 @@ from tabulon.operators.features import public_export
 from tabulon.plans.reading_log import ReadingLogPaths, refresh
 from tabulon.session import scratch_path
 from tabulon.sources.writers import write_csv, write_layer
-from tabulon.streaming import file_stream, ingest_new_files, latest_versions, merge_stream, score_stream
+from tabulon.streaming import (
+    compact, file_stream, ingest_new_files, latest_versions, merge_stream, score_stream, upsert_stream, upserted,
+)
 
 
 @query(EXPORT_SQL)
@@ -52,7 +54,7 @@ def stream_ingest(spark, folder):
     return spark.read.parquet(f"{out}/table")
 
 
-def land_by_week(events: DataFrame, path: str, rows_per_file: int = 20_000) -> DataFrame:
+def land_by_week(events: DataFrame, path: str, rows_per_file: int = 1_000_000) -> DataFrame:
     """Write events under their week, cut by range so that tasks and files hold about ``rows_per_file`` rows at most.
 
     The number of ranges grows with the rows, and the cut points are Spark's own sample of (week, ts, event_id), so a
@@ -63,23 +65,61 @@ def land_by_week(events: DataFrame, path: str, rows_per_file: int = 20_000) -> D
     return write_layer(weekly.repartitionByRange(ranges, *order).sortWithinPartitions(*order), path, partition_by=["week"])
 
 
-@query("""
+_MERGED_SQL = """
 SELECT user_id, event_id, event_type, round(value * 2, 4) AS doubled FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
-WHERE rn = 1""")
+WHERE rn = 1"""
+_MERGED = ["user_id", "event_id", "event_type", "doubled"]
+_KEY, _ORDER = ["user_id"], ["ts", "event_id"]
+_BATCH_BYTES = 1 << 30
+
+
+def _doubled(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doubled", F.round(F.col("value") * 2, 4))
+
+
+@query(_MERGED_SQL)
 def stream_merge(spark, folder):
-    """Events land in one or more files per week; each file is one micro-batch upserted by user."""
+    """Events land as files by week; micro-batches of bounded bytes are upserted by user."""
     out = scratch_path(spark, "merge")
     events = table(spark, folder, "events")
     land_by_week(events, f"{out}/landing")
-    stream = file_stream(spark, f"{out}/landing/*", events.schema, files_per_batch=1)
-    merge_stream(
-        stream, f"{out}/log", f"{out}/checkpoint", ["user_id"], ["ts", "event_id"],
-        lambda rows: rows.withColumn("doubled", F.round(F.col("value") * 2, 4)),
-    ).awaitTermination()
-    return latest_versions(spark, f"{out}/log", ["user_id"], ["ts", "event_id"]).select(
-        "user_id", "event_id", "event_type", "doubled"
-    )
+    stream = file_stream(spark, f"{out}/landing/*", events.schema, bytes_per_batch=_BATCH_BYTES)
+    merge_stream(stream, f"{out}/log", f"{out}/checkpoint", _KEY, _ORDER, _doubled).awaitTermination()
+    return latest_versions(spark, f"{out}/log", _KEY, _ORDER).select(*_MERGED)
+
+
+@query(_MERGED_SQL)
+def stream_compact(spark, folder):
+    """Even weeks are merged and compacted; odd weeks, most of them late, are merged on top; the read takes snapshot and log.
+
+    The odd weeks come from a stream that lost its checkpoint and so repeats the even ones.
+    """
+    out = scratch_path(spark, "compact")
+    events = table(spark, folder, "events")
+    land_by_week(events.filter(F.weekofyear("ts") % 2 == 0), f"{out}/landing")
+
+    def merge(checkpoint: str) -> None:
+        stream = file_stream(spark, f"{out}/landing/*", events.schema, bytes_per_batch=_BATCH_BYTES)
+        merge_stream(stream, f"{out}/log", f"{out}/{checkpoint}", _KEY, _ORDER, _doubled).awaitTermination()
+
+    merge("checkpoint")
+    compact(spark, f"{out}/log", _KEY, _ORDER)
+    late = events.filter(F.weekofyear("ts") % 2 == 1).withColumn("week", F.weekofyear("ts"))
+    write_layer(late, f"{out}/landing", mode="append", partition_by=["week"])
+    merge("checkpoint-after-loss")
+    return latest_versions(spark, f"{out}/log", _KEY, _ORDER).select(*_MERGED)
+
+
+@query(_MERGED_SQL)
+def stream_state(spark, folder):
+    """The same upsert with each user's last event as state in RocksDB."""
+    out = scratch_path(spark, "state")
+    events = table(spark, folder, "events")
+    land_by_week(events, f"{out}/landing")
+    stream = file_stream(spark, f"{out}/landing/*", events.schema, bytes_per_batch=_BATCH_BYTES)
+    upsert_stream(stream, f"{out}/changes", f"{out}/checkpoint", _KEY, _ORDER, _doubled).awaitTermination()
+    return upserted(spark, f"{out}/changes", _KEY).select(*_MERGED)
 
 
 @query("SELECT doc_id, TRUE AS same_as_batch FROM documents")

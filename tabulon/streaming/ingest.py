@@ -6,30 +6,31 @@ behaves like an incremental batch; its checkpoint remembers finished files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tabulon.ml.score import score
-from tabulon.operators.ordering import first_per_key
-
-BATCH = "batch_id"
 
 
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, format: str = "parquet",
-    glob: str | None = None, files_per_batch: int | None = None,
+    glob: str | None = None, files_per_batch: int | None = None, bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """Rows of every file that appears in the folder, each file once."""
+    """Rows of every file that appears in the folder, each file once.
+
+    A micro-batch takes files up to ``files_per_batch`` or ``bytes_per_batch``, or all that are there.
+    """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("Bound a batch by files or by bytes, not by both")
     reader = spark.readStream.format(format).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(folder)
 
 
@@ -41,37 +42,6 @@ def ingest_new_files(stream: DataFrame, target: str, checkpoint: str) -> Streami
     )
 
 
-def merge_stream(
-    stream: DataFrame, log: str, checkpoint: str, key: Sequence[str], order: Sequence[str],
-    derive: Callable[[DataFrame], DataFrame] | None = None,
-) -> StreamingQuery:
-    """Upsert by key, last write wins.
-
-    Every micro-batch is reduced to its last row per key, passed through ``derive``
-    and written under its own batch number. Replaying a batch overwrites that number
-    only, and the cost of a batch follows the batch, not the table.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        last = first_per_key(batch, key, [F.col(c).desc() for c in order])
-        rows = derive(last) if derive else last
-        rows.write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
-
-    return (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
-def latest_versions(spark: SparkSession, log: str, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """The current table behind a merge log: each key's row from its last batch.
-
-    With ``order`` the row itself decides which is last, whatever order files arrived in.
-    """
-    last = [F.col(c).desc() for c in (*order, BATCH)]
-    return first_per_key(spark.read.parquet(log), key, last).drop(BATCH)
-
-
 def score_stream(stream: DataFrame, model: PipelineModel, target: str, checkpoint: str) -> StreamingQuery:
     """Score arriving rows with a fitted model; stateless."""
     return ingest_new_files(score(model, stream), target, checkpoint)
