@@ -15,6 +15,7 @@ from tabulon.operators.corroborate import corroborated_rows
 from tabulon.operators.features import lag_features, public_export
 from tabulon.operators.flags import flag_board, flag_readings
 from tabulon.operators.lookup import locate, official_on_day, place_city, unknown_places
+from tabulon.operators.ordering import first_per_key
 from tabulon.operators.overrides import (
     apply_board_overrides, apply_reading_overrides, board_baseline, split_valid, upsert_overrides,
 )
@@ -22,6 +23,8 @@ from tabulon.operators.select import stack
 from tabulon.plans.reading_log import SHEET_COLUMNS, derive_log, log_rows, save_override
 from tabulon.schemas import BOARD_PRICES
 from tabulon.session import scratch_path
+from tabulon.sources.corrections import append_corrections, corrections_as_of
+from tabulon.sources.file_order import place_in_files, with_load_order
 from tabulon.sources.metadata import metadata_fields
 from tabulon.sources.workbook import read_published_workbook
 from tabulon.sources.writers import write_csv, write_layer
@@ -41,6 +44,50 @@ def flag_outliers(spark, folder):
     )
 
 
+_AS_OF_SQL = "WITH " + S.EVENTS_SQL + """,
+first AS (SELECT filename, 150.0::DOUBLE AS total_gtq, 1.5::DOUBLE AS gallons, 'first look' AS override_note FROM ev WHERE event_type = 'error'),
+second AS (SELECT filename, 150.0::DOUBLE AS total_gtq, nullif(k, 0) / 10.0 AS gallons, 'k=' || CAST(k AS VARCHAR) AS override_note
+           FROM ev WHERE event_type = 'error'),
+half AS (SELECT *, row_number() OVER (ORDER BY filename) AS n, count(*) OVER () AS rows FROM second)
+SELECT 'first append' AS known, * FROM first
+UNION ALL SELECT 'half of the second', f.filename, f.total_gtq, CASE WHEN n <= rows // 2 THEN h.gallons ELSE f.gallons END,
+  CASE WHEN n <= rows // 2 THEN h.override_note ELSE f.override_note END FROM first AS f JOIN half AS h USING (filename)
+UNION ALL SELECT 'all', * FROM second"""
+
+
+@query(_AS_OF_SQL)
+def corrections_as_known(spark, folder):
+    """Two appends of corrections, read as of the first one, as of a number amid the second one, and as of now."""
+    log, rows = scratch_path(spark, "corrections"), S.override_log(spark, folder)
+    first = append_corrections(rows.filter("seq = 1"), log, ["filename"])
+    last = append_corrections(rows.filter("seq = 2"), log, ["filename"])
+    points = {"first append": first, "half of the second": first + (last - first) // 2, "all": None}
+    schema = rows.drop("seq").schema
+    return stack(*[corrections_as_of(spark, log, schema, "filename", n).withColumn("known", F.lit(name)) for name, n in points.items()])
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS load_order FROM events")
+def ingestion_order(spark, folder):
+    """Events delivered as a small folder of files and a large one, numbered in the order of delivery after they were read."""
+    delivered = _delivery(spark, folder)
+    return with_load_order(spark.read.parquet(f"{delivered}/*")).select("event_id", "load_order").repartition(7)
+
+
+@query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
+def first_delivered(spark, folder):
+    """Each user's first row in the order of delivery."""
+    scan = spark.read.parquet(f"{_delivery(spark, folder)}/*").select("user_id", "event_id", place_in_files().alias("place"))
+    return first_per_key(scan.repartition(5), ["user_id"], [F.col("place")]).select("user_id", "event_id")
+
+
+def _delivery(spark, folder):
+    out, events = scratch_path(spark, "delivery"), table(spark, folder, "events")
+    edge = events.agg(F.percentile_approx("event_id", 0.05)).first()[0]
+    for name, part, files in (("a", F.col("event_id") <= edge, 1), ("b", F.col("event_id") > edge, 4)):
+        events.filter(part).repartitionByRange(files, "event_id").sortWithinPartitions("event_id").write.parquet(f"{out}/{name}")
+    return out
+
+
 _BOARD_ORDERS = """
 SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') IS NULL OR o_orderstatus = 'P' AS board_needs_review,
   CASE WHEN o_orderpriority = '5-LOW' OR o_orderstatus = 'P' THEN 'board_prices_unconfirmed' ELSE '' END

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from tabulon.catalog import standins as S
 from tabulon.catalog.cleaning import CLEAN_SQL, cleaned_lines
-from tabulon.catalog.learning import _CATEGORICAL, _NUMERIC, graded_split
+from tabulon.catalog.learning import _CATEGORICAL, _NUMERIC, _SPLIT_SQL, graded_split
 from tabulon.catalog.readings import EXPORT_SQL, rounded_export
 from tabulon.catalog.registry import query, table
 from tabulon.ml import InverseStrengthLogisticRegression, build_model, score
 from tabulon.operators.features import public_export
+from tabulon.operators.split import stratified_split
 from tabulon.plans.reading_log import ReadingLogPaths, refresh
 from tabulon.session import scratch_path
+from tabulon.sources.versions import commit_version, read_version
 from tabulon.sources.writers import write_csv, write_layer
 from tabulon.streaming import (
     compact, file_stream, ingest_new_files, latest_versions, merge_stream, score_stream, upsert_stream, upserted,
@@ -37,10 +39,29 @@ def refresh_job(spark, folder):
 
 @query(CLEAN_SQL)
 def medallion(spark, folder):
-    """Raw copy, then cleaned rows; each layer reads only the one before it."""
+    """Raw copy, then cleaned rows; each layer is committed as a whole and reads only the one before it."""
     out = scratch_path(spark, "layers")
-    bronze = write_layer(table(spark, folder, "lineitem"), f"{out}/bronze")
-    return write_layer(cleaned_lines(bronze), f"{out}/silver")
+    commit_version(table(spark, folder, "lineitem"), f"{out}/bronze")
+    commit_version(cleaned_lines(read_version(spark, f"{out}/bronze")), f"{out}/silver")
+    return read_version(spark, f"{out}/silver")
+
+
+@query(_SPLIT_SQL + """
+SELECT split, quality, count(*) AS n, round(avg(n_chars), 4) AS mean_chars, count(DISTINCT lang) AS languages
+FROM parts JOIN documents USING (doc_id) GROUP BY split, quality""")
+def gold_table(spark, folder):
+    """Bronze copies, labelled rows as silver, and the profile of their split as gold; each layer reads one whole version."""
+    out = scratch_path(spark, "gold")
+    for name in ("documents", "labels"):
+        commit_version(table(spark, folder, name), f"{out}/bronze/{name}")
+    documents, labels = (read_version(spark, f"{out}/bronze/{n}") for n in ("documents", "labels"))
+    silver = documents.select("doc_id", "lang", "n_chars").join(labels.select("doc_id", "quality"), "doc_id")
+    commit_version(silver, f"{out}/silver")
+    parts = stratified_split(read_version(spark, f"{out}/silver"), "quality", ["doc_id"])
+    profile = parts.groupBy("split", "quality").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("n_chars"), 4).alias("mean_chars"), F.count_distinct("lang").alias("languages"))
+    commit_version(profile, f"{out}/gold")
+    return read_version(spark, f"{out}/gold")
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events")

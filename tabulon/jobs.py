@@ -10,6 +10,7 @@ from tabulon.plans.reading_log import ReadingLogPaths, log_rows, publish_officia
 from tabulon.schemas import BOARD_OVERRIDES, CHURN_CATEGORICAL, CHURN_NUMERIC, READING_OVERRIDES, READINGS
 from tabulon.session import build_session
 from tabulon.sources.readers import read_csv
+from tabulon.sources.versions import read_version
 
 
 def parser() -> argparse.ArgumentParser:
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "gold":
         to_gold(spark, a.silver, a.gold)[1].show()
     elif a.job == "tune":
-        train, test = split_dataset(labelled(spark.read.parquet(a.silver)))
+        train, test = split_dataset(labelled(read_version(spark, a.silver)))
         results = tune_all_models(
             train, [ROW_KEY], CHURN_NUMERIC, CHURN_CATEGORICAL, a.search, n_iter=a.n_iter, cv=a.cv
         )

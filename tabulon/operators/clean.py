@@ -12,6 +12,7 @@ from tabulon.functions.mixed_dates import date_rejects, to_date_any
 from tabulon.operators.ordering import first_per_key
 from tabulon.operators.select import extract_columns
 from tabulon.schemas import CHURN_FEATURES, CHURN_TARGET, CUSTOMER_ID, OFFICIAL_PRICES, TENURE
+from tabulon.sources.file_order import is_scan, place_in_files
 
 #: Plausible tenure in months, first day of the reference series.
 TENURE_RANGE = (0, 100)
@@ -38,11 +39,14 @@ def clean_customers(raw: DataFrame, order: Sequence[Column] | None = None, featu
                     include_target: bool = True) -> DataFrame:
     """Extraction plus filtering of a customer export.
 
-    ``order`` says which duplicate comes first; without it file order is taken.
+    ``order`` says which duplicate comes first. Without it the rows must come from a file scan, and the one
+    delivered first counts: by path, then by place in the file.
     """
     target = CHURN_TARGET if include_target else None
     if order is None:
-        raw = raw.withColumn("_loaded", F.monotonically_increasing_id())
+        if not is_scan(raw):
+            raise ValueError("Say by order which duplicate comes first: these rows don't come from files")
+        raw = raw.select("*", place_in_files().alias("_loaded"))
     else:
         raw = raw.withColumn("_loaded", F.struct(*order))
     picked = extract_columns(raw, CUSTOMER_ID, [*features, "_loaded"], target, ["TotalCharges"])

@@ -1,4 +1,7 @@
-"""Layered customer jobs: raw copy, cleaned rows, trained model with its metrics."""
+"""Layered customer jobs: raw copy, cleaned rows, trained model with its metrics.
+
+Every layer is a table in whole versions: the next one reads all of a version or nothing of it.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +21,8 @@ from tabulon.operators.ordering import head
 from tabulon.operators.split import hash_order, stratified_split
 from tabulon.schemas import CHURN, CHURN_CATEGORICAL, CHURN_FEATURES, CHURN_NUMERIC, CHURN_TARGET
 from tabulon.session import scratch_path, shared_folder
+from tabulon.sources.file_order import place_in_files
+from tabulon.sources.versions import commit_folder, commit_version, current_version, new_folder, read_version
 from tabulon.sources.writers import write_layer, write_metrics
 
 #: Target labels, held-out share, size of the stored sample.
@@ -29,11 +34,8 @@ ROW_KEY, LOAD_ORDER = "row_key", "load_order"
 def to_bronze(spark: SparkSession, source: str, bronze: str) -> DataFrame:
     """Raw copy of the source, every cell as delivered, plus its place in the file."""
     cells = spark.read.csv(source, header=True, escape='"')
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    return write_layer(cells.select("*", place.alias(LOAD_ORDER)), bronze)
+    commit_version(cells.select("*", place_in_files().alias(LOAD_ORDER)), bronze, {"source": source})
+    return read_version(spark, bronze)
 
 
 def to_silver(spark: SparkSession, bronze: str, silver: str) -> DataFrame:
@@ -41,12 +43,14 @@ def to_silver(spark: SparkSession, bronze: str, silver: str) -> DataFrame:
 
     Cells are typed by the declared schema; absent columns are reported by name.
     """
-    raw = spark.read.parquet(bronze)
+    entry = current_version(spark, bronze)
+    raw = read_version(spark, bronze, entry["version"] if entry else None)
     types = {f.name: f.dataType for f in CHURN}
     typed = raw.select(*[
         F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in raw.columns
     ])
-    return write_layer(clean_customers(typed, [F.col(LOAD_ORDER)]), silver)
+    commit_version(clean_customers(typed, [F.col(LOAD_ORDER)]), silver, {"bronze": str(entry["version"])})
+    return read_version(spark, silver)
 
 
 def labelled(clean: DataFrame, features: Sequence[str] = CHURN_FEATURES, target: str = CHURN_TARGET) -> DataFrame:
@@ -75,18 +79,29 @@ def to_gold(
     spark: SparkSession, silver: str, gold: str, classifier: Estimator | None = None,
     numeric: Sequence[str] = CHURN_NUMERIC, categorical: Sequence[str] = CHURN_CATEGORICAL,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Split, fit, evaluate; store model, metrics and a sample of test features.
+    """Split, fit, evaluate; store model, metrics and a sample of test features as one version of the layer.
 
     The split is written before training: every pass of the trainer then reads the
-    same rows even after executors are lost.
+    same rows even after executors are lost. Nothing shows until all parts are stored.
     """
-    data = labelled(spark.read.parquet(silver), [*numeric, *categorical])
+    entry = current_version(spark, silver)
+    data = labelled(read_version(spark, silver, entry["version"] if entry else None), [*numeric, *categorical])
     stored = write_layer(stratified_split(data, "label", [ROW_KEY], TEST_SIZE), scratch_path(spark, "split"))
     train, test = stored.filter("split = 'train'"), stored.filter("split = 'test'")
     model = build_model(classifier, numeric, categorical).fit(train)
-    save_model(model, f"{gold}/model")
-    metrics = write_layer(metrics_table(model, test), f"{gold}/metrics_table")
-    write_metrics(metrics, f"{gold}/metrics")
+    folder = new_folder(gold)
+    save_model(model, f"{folder}/model")
+    metrics = write_layer(metrics_table(model, test), f"{folder}/metrics_table")
+    write_metrics(metrics, f"{folder}/metrics")
     sample = head(test.withColumn("_o", hash_order([ROW_KEY], 42)), SAMPLE_ROWS, "_o")
-    write_layer(sample.select(*numeric, *categorical), f"{gold}/test_sample")
+    kept = write_layer(sample.select(*numeric, *categorical), f"{folder}/test_sample")
+    commit_folder(spark, gold, folder, kept.count(), {"silver": str(entry["version"])})
     return model, metrics
+
+
+def gold_folder(spark: SparkSession, gold: str, version: int | None = None) -> str:
+    """Where the parts (``model``, ``metrics``, ``metrics_table``, ``test_sample``) of a gold version lie."""
+    entry = current_version(spark, gold, version)
+    if entry is None:
+        raise LookupError(f"{gold} has no version")
+    return f"{gold}/{entry['folder']}"

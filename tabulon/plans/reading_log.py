@@ -18,6 +18,7 @@ from tabulon.operators.overrides import (
 )
 from tabulon.schemas import BOARD_OVERRIDES, GEO_FIELDS, OFFICIAL, READING_OVERRIDES
 from tabulon.session import scratch_path
+from tabulon.sources.corrections import corrections_as_of
 from tabulon.sources.incremental import reuse_and_new, unprocessed
 from tabulon.sources.metadata import flatten_reading, metadata_fields
 from tabulon.sources.readers import read_or_empty, read_published_sheet
@@ -47,7 +48,11 @@ class ReadingLogPaths:
 
 
 def _last_per_key(rows: DataFrame, key: str) -> DataFrame:
-    """The row entered last of each key, in the order of files and of rows in a file."""
+    """The row entered last of each key, in the order of files and of rows in a file.
+
+    Files count in the order of their names; where corrections are appended in several writes, keep them as a log
+    (``tabulon.sources.corrections``), whose numbers don't depend on names.
+    """
     entered = F.struct(F.input_file_name(), F.monotonically_increasing_id())
     return latest_overrides(rows.withColumn("_entered", entered), key, ["_entered"])
 
@@ -98,18 +103,26 @@ def derive_log(
 
 
 def refresh(
-    spark: SparkSession, readings: DataFrame, paths: ReadingLogPaths, notes_are_array: bool = True
+    spark: SparkSession, readings: DataFrame, paths: ReadingLogPaths, notes_are_array: bool = True,
+    from_logs: bool = False, as_of: int | None = None, board_as_of: int | None = None,
 ) -> DataFrame:
     """Derive the log and write dataset, JSON and public export.
 
     The dataset is stored once; both exports restart from the stored table, so a
     lost executor never makes them recompute the derivation. Point ``dataset`` at a
     new path per run: the readings may come from the previous version.
+
+    ``from_logs``: both override paths are append-only logs (``tabulon.sources.corrections``), read as of the given
+    sequence numbers (None: all).
     """
+    if from_logs:
+        corrections = corrections_as_of(spark, paths.reading_overrides, READING_OVERRIDES, "filename", as_of)
+        board = corrections_as_of(spark, paths.board_overrides, BOARD_OVERRIDES, "filename", board_as_of)
+    else:
+        corrections = read_or_empty(spark, paths.reading_overrides, READING_OVERRIDES, multi_line=True)
+        board = read_or_empty(spark, paths.board_overrides, BOARD_OVERRIDES, multi_line=True)
     derived = derive_log(
-        readings,
-        read_or_empty(spark, paths.reading_overrides, READING_OVERRIDES, multi_line=True),
-        read_or_empty(spark, paths.board_overrides, BOARD_OVERRIDES, multi_line=True),
+        readings, corrections, board,
         read_or_empty(spark, paths.official, OFFICIAL),
         notes_are_array,
         scratch_path(spark, "merged"),

@@ -36,34 +36,43 @@ def current_version(spark: SparkSession, path: str, version: int | None = None)
     return entries.orderBy(F.col("version").desc(), F.col("committed_at").desc(), "folder").first()
 
 
-def commit_version(
-    df: DataFrame, path: str, note: Mapping[str, str] | None = None, partition_by: Sequence[str] = (), expected: int | None = None,
+def new_folder(path: str) -> str:
+    """A folder of its own for the parts of a version that isn't committed yet."""
+    return f"{path}/data/{uuid.uuid4().hex}"
+
+
+def commit_folder(
+    spark: SparkSession, path: str, folder: str, rows: int, note: Mapping[str, str] | None = None, expected: int | None = None,
 ) -> int:
-    """Write a new version of the whole table and make it the current one; its number is returned.
+    """Make a finished folder of :func:`new_folder` the current version; its number is returned.
 
-    ``df`` may read the version before it. With ``expected``, the current version must still be that one
-    (0: none yet), or nothing is committed.
+    ``note`` goes into the entry. With ``expected``, the current version must still be that one (0: none yet), or
+    nothing is committed.
     """
-    spark = df.sparkSession
-    folder = f"data/{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/{folder}")
-    rows = spark.read.schema(df.schema).parquet(f"{path}/{folder}").count()
     last = current_version(spark, path)
     number = last["version"] if last else 0
     if expected is not None and number != expected:
         raise RuntimeError(f"Version {number} was committed meanwhile, {expected} was expected")
     entry = spark.range(1).select(
-        F.lit(number + 1).cast("long").alias("version"), F.lit(folder).alias("folder"), F.lit(rows).cast("long").alias("rows"),
-        F.from_json(F.to_json(F.create_map(*[F.lit(x) for pair in (note or {}).items() for x in pair])), "map<string,string>").alias("note")
-        if note else F.lit(None).cast("map<string,string>").alias("note"),
-        F.current_timestamp().alias("committed_at"))
+        F.lit(number + 1).cast("long").alias("version"), F.lit(folder.removeprefix(f"{path}/")).alias("folder"),
+        F.lit(rows).cast("long").alias("rows"), F.lit(None).cast("map<string,string>").alias("note") if not note else
+        F.create_map(*[F.lit(x) for pair in note.items() for x in pair]).alias("note"), F.current_timestamp().alias("committed_at"))
     entry.coalesce(1).write.mode("append").json(f"{path}/manifest")
     return number + 1
 
 
+def commit_version(
+    df: DataFrame, path: str, note: Mapping[str, str] | None = None, partition_by: Sequence[str] = (), expected: int | None = None,
+) -> int:
+    """Write a new version of the whole table and make it the current one; ``df`` may read the version before it."""
+    spark, folder = df.sparkSession, new_folder(path)
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(folder)
+    return commit_folder(spark, path, folder, spark.read.schema(df.schema).parquet(folder).count(), note, expected)
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The current version of a table, or an earlier one."""
     entry = current_version(spark, path, version)

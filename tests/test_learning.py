@@ -18,7 +18,8 @@ from tabulon.ml.tune import SEARCH_SPACES, combinations_of
 from tabulon.operators import metrics as M
 from tabulon.operators.quality import class_rate
 from tabulon.operators.split import stratified_folds, stratified_split
-from tabulon.plans.churn import labelled, split_dataset, to_bronze, to_gold, to_silver
+from tabulon.plans.churn import gold_folder, labelled, split_dataset, to_bronze, to_gold, to_silver
+from tabulon.sources.versions import current_version, read_version
 from tabulon.schemas import CHURN, CHURN_CATEGORICAL, CHURN_FEATURES, CHURN_NUMERIC
 
 
@@ -56,11 +57,11 @@ def layers(spark, churn_csv, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def parts(spark, layers):
-    return split_dataset(labelled(spark.read.parquet(f"{layers}/silver")))
+    return split_dataset(labelled(read_version(spark, f"{layers}/silver")))
 
 
 def test_cleaning_and_preparation_end_to_end(spark, layers, parts):
-    clean = spark.read.parquet(f"{layers}/silver")
+    clean = read_version(spark, f"{layers}/silver")
     assert "customerID" not in clean.columns and clean.count() == 240
     assert clean.filter("tenure NOT BETWEEN 0 AND 100").count() == 0
     assert clean.filter("gender = 'Dup'").count() == 0  # the first row of a repeated customer stays
@@ -92,10 +93,11 @@ def test_default_model_learns_scores_and_persists(spark, layers, tmp_path):
     m = metrics.first().asDict()
     assert set(m) == {"accuracy", "precision", "recall", "f1", "roc_auc"} and all(0 <= v <= 1 for v in m.values())
     assert m["roc_auc"] > 0.6
-    assert spark.read.json(f"{tmp_path}/metrics").count() == 1
-    sample = spark.read.parquet(f"{tmp_path}/test_sample")
+    stored = gold_folder(spark, str(tmp_path))
+    assert spark.read.json(f"{stored}/metrics").count() == 1 and current_version(spark, str(tmp_path))["note"] == {"silver": "1"}
+    sample = spark.read.parquet(f"{stored}/test_sample")
     assert sample.count() == 20 and sample.columns == CHURN_FEATURES
-    again = score(load_model(f"{tmp_path}/model"), sample).select("score_probability", "score_predicted").collect()
+    again = score(load_model(f"{stored}/model"), sample).select("score_probability", "score_predicted").collect()
     assert [r[0] for r in again] == pytest.approx([r[0] for r in score(model, sample).select("score_probability").collect()])
     assert all(r["score_predicted"] == (r["score_probability"] >= 0.5) for r in again)
 
@@ -183,6 +185,6 @@ def test_command_line_jobs(spark, churn_csv, tmp_path):
 
     main(["bronze", churn_csv, f"{tmp_path}/bronze"])
     main(["silver", f"{tmp_path}/bronze", f"{tmp_path}/silver"])
-    assert spark.read.parquet(f"{tmp_path}/silver").count() == 240
+    assert read_version(spark, f"{tmp_path}/silver").count() == 240
     with pytest.raises(SystemExit):
         main(["unknown"])
