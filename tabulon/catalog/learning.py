@@ -109,8 +109,10 @@ def split_rates(spark, folder):
 
 
 @query("""
-SELECT doc_id, CAST((row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR))) - 1) % 5
-       AS INTEGER) AS fold FROM labels""")
+SELECT doc_id, CAST(CASE WHEN r <= ceil(n / 5) THEN 0 WHEN r <= ceil(2 * n / 5) THEN 1 WHEN r <= ceil(3 * n / 5) THEN 2
+                         WHEN r <= ceil(4 * n / 5) THEN 3 ELSE 4 END AS INTEGER) AS fold
+FROM (SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR))) AS r,
+             count(*) OVER (PARTITION BY quality)::DOUBLE AS n FROM labels)""")
 def cv_folds(spark, folder):
     return stratified_folds(table(spark, folder, "labels"), "quality", ["doc_id"]).select("doc_id", "fold")
 
