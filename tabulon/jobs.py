@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from tabulon.ml import evaluate_model, tune_all_models, tuning_table
+from tabulon.ml import best_trials, evaluate_model, refit, search, trials_table
 from tabulon.plans.churn import ROW_KEY, labelled, split_dataset, to_bronze, to_gold, to_silver
 from tabulon.plans.reading_log import ReadingLogPaths, log_rows, publish_official, refresh, save_override
 from tabulon.schemas import BOARD_OVERRIDES, CHURN_CATEGORICAL, CHURN_NUMERIC, READING_OVERRIDES, READINGS
@@ -54,11 +54,10 @@ def main(argv: list[str] | None = None) -> None:
         to_gold(spark, a.silver, a.gold)[1].show()
     elif a.job == "tune":
         train, test = split_dataset(labelled(read_version(spark, a.silver)))
-        results = tune_all_models(
-            train, [ROW_KEY], CHURN_NUMERIC, CHURN_CATEGORICAL, a.search, n_iter=a.n_iter, cv=a.cv
-        )
-        tuning_table(train, results).show(truncate=False)
-        print(results[0].model_name, evaluate_model(results[0].best_model, test))
+        trials = search(train, [ROW_KEY], CHURN_NUMERIC, CHURN_CATEGORICAL, a.search, n=a.n_iter, cv=a.cv)
+        trials_table(spark, trials).orderBy("rank").show(len(trials), truncate=False)
+        best = max(best_trials(trials).values(), key=lambda t: t.mean_score)
+        print(best.family, best.settings, evaluate_model(refit(best, train, CHURN_NUMERIC, CHURN_CATEGORICAL), test))
     elif a.job == "official":
         publish_official(spark, a.sheet, a.target, a.sheet_name)
     elif a.job == "correct":

@@ -12,7 +12,7 @@ from tabulon.catalog import CATALOG
 
 FOLDER = entry.SMOKE_FOLDER
 WITHOUT_SQL = {
-    "feature_vectors", "train_gbt", "train_lr", "train_rf", "tune_models", "batch_score",
+    "feature_vectors", "train_gbt", "train_lr", "train_rf", "batch_score",
 }
 
 

@@ -2,25 +2,27 @@ from __future__ import annotations
 
 import math
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabulon.ml import (
-    InverseStrengthLogisticRegression, TabularPreparer, build_model, evaluate_model, load_model, save_model, score,
-    tune_all_models, tune_model, tuning_table,
+    FAMILIES, InverseStrengthLogisticRegression, TabularPreparer, best_trials, build_model, evaluate_model, load_model, refit, save_model,
+    score, search, trials_table, tune,
 )
-from tabulon.ml.tune import SEARCH_SPACES, combinations_of
+from tabulon.ml.prefixes import prefix_scores
 from tabulon.operators import metrics as M
 from tabulon.operators.quality import class_rate
 from tabulon.operators.split import stratified_folds, stratified_split
-from tabulon.plans.churn import gold_folder, labelled, split_dataset, to_bronze, to_gold, to_silver
-from tabulon.sources.versions import current_version, read_version
+from tabulon.plans.churn import ROW_KEY, gold_folder, labelled, split_dataset, to_bronze, to_gold, to_silver
 from tabulon.schemas import CHURN, CHURN_CATEGORICAL, CHURN_FEATURES, CHURN_NUMERIC
+from tabulon.session import shared_folder
+from tabulon.sources.versions import current_version, read_version
 
 
 def customers(n=240, seed=1):
@@ -119,22 +121,63 @@ def test_inverse_strength_follows_rows(spark, parts):
     assert model.getRegParam() == pytest.approx(1 / (0.1 * train.count()))
 
 
-def test_random_search(spark, parts):
-    train, _ = parts
-    args = (train, ["row_key"], CHURN_NUMERIC, ["Contract"])
-    result = tune_model("logistic_regression", *args, search_type="random", n_iter=2, cv=2)
-    assert result.model_name == "logistic_regression" and 0 <= result.best_cv_score <= 1
-    assert "classifier__C" in result.best_params
+def test_search_over_folds(spark, parts):
+    train = parts[0]
+    args = (train, [ROW_KEY], CHURN_NUMERIC, CHURN_CATEGORICAL)
+    trials = search(*args, how="random", families=["logistic_regression"], n=2, cv=2)
+    assert len(trials) == 2 and all(set(t.settings) == {"C"} and len(t.fold_scores) == 2 for t in trials)
+    assert all(0 <= x <= 1 for t in trials for x in t.fold_scores)
+    best = best_trials(trials)["logistic_regression"]
+    assert best.mean_score == max(t.mean_score for t in trials)
+    assert 0 <= evaluate_model(refit(best, train, CHURN_NUMERIC, CHURN_CATEGORICAL), parts[1]).roc_auc <= 1
+    table = trials_table(spark, trials).orderBy("rank").collect()
+    assert [r["rank"] for r in table] == [1, 2] and table[0]["mean_auc"] >= table[1]["mean_auc"]
     with pytest.raises(ValueError, match="halving"):
-        tune_model("logistic_regression", *args, search_type="halving")
-    everything = tune_all_models(*args, search_type="random", names=["logistic_regression"], n_iter=1, cv=2)
-    table = tuning_table(train, everything).collect()
-    assert [r["rank"] for r in table] == [1]
-
-
-def test_search_spaces():
-    sizes = {name: len(combinations_of(s.grid)) for name, s in SEARCH_SPACES.items()}
-    assert sizes == {"logistic_regression": 4, "random_forest": 36, "gradient_boosting": 18}
+        search(*args, how="halving")
+
+
+def test_grids():
+    assert {name: len(f.points()) for name, f in FAMILIES.items()} == {"logistic_regression": 4, "random_forest": 36, "gradient_boosting": 18}
+    fits = {name: tune._shared_fits(f, f.points()) for name, f in FAMILIES.items()}
+    assert {name: len(g) for name, g in fits.items()} == {"logistic_regression": 4, "random_forest": 12, "gradient_boosting": 9}
+    for name, groups in fits.items():
+        assert sorted(i for _, same in groups for i in same) == list(range(len(FAMILIES[name].points())))
+    assert len(tune.chosen_points(FAMILIES["random_forest"], "random", 5)) == 5
+
+
+def test_prefixes_of_ensembles(spark, parts):
+    prepared = TabularPreparer(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(parts[0])
+    fit, held = (prepared.transform(d).select("label", "features").coalesce(1).cache() for d in parts)
+    shared_folder(spark)
+
+    def scores(model, size):
+        rows = prefix_scores(model, held, [2, size]).filter(F.col("size") == size).collect()
+        return [r["score"] for r in rows]
+
+    long = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.2, seed=7).fit(fit)
+    for size in (5, 12):  # the first rounds are the model of so many rounds
+        alone = GBTClassifier(maxIter=size, maxDepth=3, stepSize=0.2, seed=7).fit(fit)
+        want = [r[0] for r in alone.transform(held).select(vector_to_array("rawPrediction")[1]).collect()]
+        assert scores(long, size) == pytest.approx(want, abs=1e-9)
+    forest = RandomForestClassifier(numTrees=9, maxDepth=30, minInstancesPerNode=2, seed=7).fit(fit)
+    want = [r[0] for r in forest.transform(held).select(vector_to_array("probability")[1]).collect()]
+    assert scores(forest, 9) == pytest.approx(want, abs=1e-9)
+    first = [sum(x) / 4 for x in zip(*[[r[0] for r in t.transform(held).select(vector_to_array("probability")[1]).collect()]
+                                       for t in forest.trees[:4]])]
+    assert scores(forest, 4) == pytest.approx(first, abs=1e-9)
+
+
+def test_one_fit_answers_all_sizes(spark, parts, monkeypatch):
+    small = {
+        "random_forest": replace(FAMILIES["random_forest"], grid={"n_estimators": [3, 6], "max_depth": [None, 3], "min_samples_leaf": [2]}),
+        "gradient_boosting": replace(FAMILIES["gradient_boosting"], grid={"n_estimators": [2, 5], "learning_rate": [0.1], "max_depth": [2]}),
+        "logistic_regression": FAMILIES["logistic_regression"],
+    }
+    monkeypatch.setattr(tune, "FAMILIES", small)
+    trials = search(parts[0], [ROW_KEY], CHURN_NUMERIC, CHURN_CATEGORICAL, cv=2)
+    assert len(trials) == 4 + 2 + 4 and all(len(t.fold_scores) == 2 and 0 <= t.mean_score <= 1 for t in trials)
+    ranked = trials_table(spark, trials)
+    assert sorted(r["family"] for r in ranked.filter("family_rank = 1").collect()) == sorted(small)
 
 
 @pytest.mark.parametrize("sizes,test_size", [((374, 1035), 0.2), ((5, 2), 0.5), ((10, 1), 0.3), ((3, 3, 3), 0.34)])
