@@ -161,29 +161,61 @@ def roc_auc(spark, folder):
     return M.roc_auc(_scored(spark, folder)).select(F.round("roc_auc", 6).alias("roc_auc"))
 
 
-@query()
+_VECTORS_SQL = _SPLIT_SQL + """,
+doc AS (SELECT doc_id, split, n_chars::DOUBLE AS n_chars, toxic::DOUBLE AS toxic, lang, source FROM documents JOIN labels USING (doc_id) JOIN parts USING (doc_id)),
+train AS (SELECT * FROM doc WHERE split = 'train'),
+fill AS (SELECT median(n_chars) AS m0, median(toxic) AS m1,
+  (SELECT lang FROM train WHERE lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1) AS m2,
+  (SELECT source FROM train WHERE source IS NOT NULL GROUP BY source ORDER BY count(*) DESC, source LIMIT 1) AS m3 FROM train),
+filled AS (SELECT doc_id, split, coalesce(n_chars, m0) AS x0, coalesce(toxic, m1) AS x1, coalesce(lang, m2) AS c0, coalesce(source, m3) AS c1 FROM doc, fill),
+scale AS (SELECT avg(x0) AS a0, stddev_pop(x0) AS s0, avg(x1) AS a1, stddev_pop(x1) AS s1 FROM filled WHERE split = 'train'),
+known AS (
+  SELECT 0 AS g, c0 AS c, row_number() OVER (ORDER BY c0) AS k FROM (SELECT DISTINCT c0 FROM filled WHERE split = 'train')
+  UNION ALL SELECT 1, c1, row_number() OVER (ORDER BY c1) FROM (SELECT DISTINCT c1 FROM filled WHERE split = 'train')),
+place AS (SELECT g, c, 1 + k + CASE WHEN g = 1 THEN (SELECT count(*) FROM known WHERE g = 0) ELSE 0 END AS i FROM known)
+SELECT doc_id, 0::INTEGER AS i, round((x0 - a0) / CASE WHEN s0 = 0 THEN 1 ELSE s0 END, 6) + 0.0 AS value FROM filled, scale WHERE split = 'test'
+UNION ALL SELECT doc_id, 1, round((x1 - a1) / CASE WHEN s1 = 0 THEN 1 ELSE s1 END, 6) + 0.0 FROM filled, scale WHERE split = 'test'
+UNION ALL SELECT doc_id, i::INTEGER, (c = CASE WHEN g = 0 THEN c0 ELSE c1 END)::INTEGER::DOUBLE FROM filled, place WHERE split = 'test'"""
+
+
+@query(_VECTORS_SQL)
 def feature_vectors(spark, folder):
+    """Held-out rows prepared by what the training rows say, a line a place of the vector."""
     train, test = graded_split(spark, folder)
     model = TabularPreparer(_NUMERIC, _CATEGORICAL).fit(train)
-    return model.transform(test).select("doc_id", vector_to_array("features").alias("features"))
+    return model.transform(test).select("doc_id", F.posexplode(vector_to_array("features")).alias("i", "value")).withColumn(
+        "value", F.round("value", 6) + 0.0)
+
+
+_TRAINED_SQL = _SPLIT_SQL + """
+SELECT metric, TRUE AS in_range, (SELECT count(*) FROM parts WHERE split = 'test') AS test_rows, TRUE AS same_after_reload
+FROM (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('roc_auc')) AS t(metric)"""
 
 
 def _trained(spark, folder, classifier):
+    """Train, save, load: a line a metric says that it is a share, and the same for the model that was loaded."""
     train, test = graded_split(spark, folder)
-    return metrics_table(build_model(classifier, _NUMERIC, _CATEGORICAL).fit(train), test)
+    model = build_model(classifier, _NUMERIC, _CATEGORICAL).fit(train)
+    loaded = load_model(save_model(model, scratch_path(spark, "model")))
+    first, again = (metrics_table(m, test).unpivot([], ["accuracy", "precision", "recall", "f1", "roc_auc"], "metric", v)
+                    for m, v in ((model, "value"), (loaded, "again")))
+    rows = test.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return first.join(again, "metric").select(
+        "metric", F.col("value").between(0, 1).alias("in_range"), rows.alias("test_rows"),
+        (F.abs(F.col("value") - F.col("again")) < 1e-12).alias("same_after_reload"))
 
 
-@query()
+@query(_TRAINED_SQL)
 def train_gbt(spark, folder):
     return _trained(spark, folder, None)
 
 
-@query()
+@query(_TRAINED_SQL)
 def train_lr(spark, folder):
     return _trained(spark, folder, InverseStrengthLogisticRegression(C=0.1))
 
 
-@query()
+@query(_TRAINED_SQL)
 def train_rf(spark, folder):
     return _trained(spark, folder, RandomForestClassifier(numTrees=100, maxDepth=5, minInstancesPerNode=2, seed=42))
 
@@ -204,16 +236,19 @@ def tune_models(spark, folder):
         (F.max("mean_auc") > 0.5).alias("better_than_chance"))
 
 
-@query()
+@query("SELECT doc_id, TRUE AS a_share, TRUE AS decided_at_half, TRUE AS same_after_reload FROM documents")
 def batch_score(spark, folder):
-    """Fit, save, load, then score every document."""
+    """Fit, save, load, score every document with both models and hold the scores against each other."""
     train, _ = graded_split(spark, folder)
     model = build_model(InverseStrengthLogisticRegression(), _NUMERIC, _CATEGORICAL).fit(train)
     loaded = load_model(save_model(model, scratch_path(spark, "model")))
     everything = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left")
-    return score(loaded, everything.select("doc_id", *_NUMERIC, *_CATEGORICAL)).select(
-        "doc_id", "score_probability", "score_predicted"
-    )
+    rows = everything.select("doc_id", *_NUMERIC, *_CATEGORICAL)
+    first = score(model, rows).select("doc_id", F.col("score_probability").alias("_p"))
+    p = F.col("score_probability")
+    return score(loaded, rows).join(first, "doc_id").select(
+        "doc_id", p.between(0, 1).alias("a_share"), (F.col("score_predicted") == (p >= 0.5)).alias("decided_at_half"),
+        (F.abs(p - F.col("_p")) < 1e-12).alias("same_after_reload"))
 
 
 @query(_SPLIT_SQL + """
