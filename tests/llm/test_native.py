@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import struct
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -96,6 +97,26 @@ def test_secret_spans_and_masks(spark, tmp_path):
         assert (r["masked"] or "") == want
 
 
+def test_many_matches_in_one_long_text_take_time_in_proportion(spark, tmp_path):
+    def seconds(n):
+        text = " ".join(["deadbeef" * 3] * (n - 2) + ["token=abcdefgh", "secret: " + "0123456789abcdef" * 100])
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        found, _ = secrets.scan_history(docs)
+        r = found.withColumn("masked", secrets.masked(F.col("text"), F.col("findings"))).select("masked", F.size("findings").alias("n")).first()
+        took = time.perf_counter() - start
+        assert r["n"] == n + 1 and r["masked"] == " ".join(["[removed]"] * n)
+        return took
+
+    seconds(100)
+    assert seconds(40_000) < 8  # 1 MB, while other sessions may share the machine
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog.op5(spark, str(tmp_path)).count() == 0
+
+
 def test_ledger_scans_only_unseen_pairs(spark):
     one = spark.createDataFrame([("a", "token=abcdef"), ("b", "f" * 30)], "path string, text string")
     two = spark.createDataFrame([("a", "token=abcdef"), ("c", "secret=uvwxyz"), ("d", "f" * 30)], "path string, text string")
