@@ -43,33 +43,44 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Equal rows that travel as one row of a running sum at most.
+COPIES = 1_000
+#: Shuffle partitions of one running sum at most.
+MOST_PARTS = 20_000
+
+
 def running_start(
-    rows: DataFrame, group: list[str], weight: Column, tie: list[str], out: str, buckets: int,
+    rows: DataFrame, group: list[str], weight: Column, tie: list[str], out: str, buckets: int, copies: int = COPIES,
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` over the rows of the same group that come before.
 
     Rows are ordered by a hash of ``tie``, then by ``tie``. The hash also cuts a
     group into ``buckets`` parts, each summed in its own task, so a group that
     holds a third of all rows is spread as evenly as any other; the parts' totals
-    (groups x buckets rows) give the offsets. Rows equal in ``tie`` are taken as
-    interchangeable. Null groups count as one group.
+    (groups x buckets rows) give the offsets. Rows equal in all columns are counted
+    before they move and go on as rows for ``copies`` of them at most, each with a
+    hash of its own, so a row that comes a billion times is spread too. Rows equal
+    in ``tie`` only are taken as interchangeable. Null groups count as one group.
     """
-    keyed = rows.withColumns({"_h": F.xxhash64(*tie), "_w": weight.cast("long")}).withColumn(
-        "_b", F.pmod("_h", F.lit(buckets))
-    )
-    keys = [*group, "_b"]
-    totals = keyed.groupBy(*keys).agg(F.sum("_w").alias("_t"))
+    names = rows.columns
+    counted = rows.withColumn("_w", weight.cast("long")).groupBy(*names, "_w").agg(F.count("*").alias("_c"))
+    cut = counted.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1, F.lit(copies).cast("long"))))
+    keyed = cut.withColumns({
+        "_h": F.when(F.col("_from") == 0, F.xxhash64(*tie)).otherwise(F.xxhash64(*tie, "_from")),
+        "_n": F.least(F.col("_c") - F.col("_from"), F.lit(copies)),
+    }).withColumn("_b", F.pmod("_h", F.lit(buckets)))
+    # A stated number of parts: small as the counted rows are, each becomes up to ``copies`` rows of its task.
+    keyed = keyed.repartition(min(buckets, MOST_PARTS), *group, "_b")
+    keys, whole = [*group, "_b"], F.col("_w") * F.col("_n")
+    totals = keyed.groupBy(*keys).agg(F.sum(whole).alias("_t"))
     ahead = W.partitionBy(*group).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.withColumn("_o", F.coalesce(F.sum("_t").over(ahead), F.lit(0))).drop("_t")
-    before = W.partitionBy(*keys).orderBy("_h", *tie).rowsBetween(W.unboundedPreceding, -1)
-    inside = keyed.withColumn("_i", F.coalesce(F.sum("_w").over(before), F.lit(0)))
+    before = W.partitionBy(*keys).orderBy("_h", *tie, "_from").rowsBetween(W.unboundedPreceding, -1)
+    inside = keyed.withColumn("_i", F.coalesce(F.sum(whole).over(before), F.lit(0)))
     right = offsets.select(*[F.col(k).alias(f"_r{n}") for n, k in enumerate(keys)], "_o")
     same = [inside[k].eqNullSafe(right[f"_r{n}"]) for n, k in enumerate(keys)]
-    return (
-        inside.join(right, same)
-        .withColumn(out, F.col("_i") + F.col("_o"))
-        .drop("_h", "_w", "_b", "_i", "_o", *[f"_r{n}" for n in range(len(keys))])
-    )
+    each = inside.join(right, same).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    return each.select(*names, (F.col("_i") + F.col("_o") + F.col("_k") * F.col("_w")).alias(out))
 
 
 def ordered_sha256(pieces: DataFrame, keys: list[str], order: list[str], piece: str, separator: str, out: str) -> DataFrame:

@@ -52,16 +52,15 @@ def shard_rows(rows: DataFrame, n_shards: int, seed: int = 7, rows_per_bucket: i
     Every row gets a global row number (its place in the order of a hash of its
     values), the number is permuted, and place p goes to slot p div n of shard
     p mod n: shard sizes differ by one row at most and slots have no gaps. Equal
-    rows are interchangeable, are counted before the shuffle and get consecutive
-    numbers. Columns ``row_number``, ``shard`` and ``slot`` are added, in place
-    of input columns of those names. Nulls are ordinary values; an empty table
-    gives an empty one.
+    rows are interchangeable; they are counted before the shuffle and numbered in
+    bounded stretches. Columns ``row_number``, ``shard`` and ``slot`` are added, in
+    place of input columns of those names. Nulls are ordinary values; texts of any
+    length only take part as the values of their row; an empty table gives an empty one.
     """
     names = [c for c in rows.columns if c not in ("row_number", "shard", "slot")]
-    counted = rows.select(F.struct(*names).alias("_row")).groupBy("_row").agg(F.count("*").alias("_n"))
     n = rows.count()
-    numbered = running_start(counted, [], F.col("_n"), ["_row"], "_first", max(1, math.ceil(n / rows_per_bucket)))
-    each = numbered.select("_row", F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)).alias("row_number"))
+    each = running_start(rows.select(F.struct(*names).alias("_row")), [], F.lit(1), ["_row"], "row_number",
+                         max(1, math.ceil(n / rows_per_bucket)))
     placed = each.withColumn("_p", permute(F.col("row_number"), max(n, 1), seed))
     return placed.select(
         *[F.col("_row")[c].alias(c) for c in names], "row_number",

@@ -55,11 +55,14 @@ def exact_top_k(table: DataFrame, k: int = 20, every: int = 20, scale: float = 6
     tiles of bounded size; each pair of tiles is one group, whose product is one
     matrix multiplication with a partial selection, and the lists are merged by
     a tree. Vectors of different lengths don't meet. Rows with a null id or
-    vector, or a null or non-finite component, take no part; equal rows are one;
-    a query's own row is every row with its id. Returns ``query_id, rank, vec_id, score``.
+    vector, or a null or non-finite component, take no part; rows equal after the
+    floor are one; a query's own row is every row with its id, and rows that share
+    an id share one list. Components beyond what a long holds are taken as the
+    nearest long. An empty table gives no lists; other columns are not read. Returns ``query_id, rank, vec_id, score``.
     """
-    rows, asked = stage_twice(valid_vectors(table.select("vec_id", "embedding"), nonzero=False).withColumn(
-        "vector", F.transform("vector", lambda x: F.floor(x * scale).cast("double"))), "topk-rows")
+    grid = F.transform("vector", lambda x: F.floor(x * scale).cast("double") + F.lit(0.0))
+    rows, asked = stage_twice(valid_vectors(table.select("vec_id", "embedding"), nonzero=False).withColumn("vector", grid).distinct(),
+                              "topk-rows")
     asked = asked.filter(F.pmod("vec_id", F.lit(every)) == 0)
     q_tiles, c_tiles = n_blocks(asked.count(), QUERY_TILE), n_blocks(rows.count(), CANDIDATE_TILE)
     left = against_all(in_blocks(asked, "q", q_tiles), "c", c_tiles)

@@ -5,13 +5,14 @@ import math
 import re
 import struct
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tabulon.llm import catalog, mixing, secrets, sharding
+from tabulon.llm import catalog, common, mixing, secrets, sharding
 
 
 def spark_hash(*values, seed=42):
@@ -59,6 +60,60 @@ def test_shards_are_even_gapless_and_independent_of_layout(spark):
     assert sharding.shard_rows(df.limit(0), 8).count() == 0
 
 
+def test_equal_rows_are_spread_and_stay_even(spark):
+    rows = spark.range(200_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("same").alias("text")).repartition(8)
+    placed = common.running_start(rows.withColumn("w", F.lit(3)), [], F.col("w"), ["doc_id"], "at", 10)
+    per_task = placed.groupBy(F.spark_partition_id().alias("p")).count()
+    got = [r["at"] for r in placed.select("at").collect()]
+    assert sorted(got) == list(range(0, 600_000, 3))
+    buckets = placed.withColumn("b", F.floor(F.col("at") / 3 / common.COPIES)).select("b").distinct().count()
+    assert buckets == 200 and max(r["count"] for r in per_task.collect()) < 200_000
+    out = sharding.shard_rows(rows, 8, rows_per_bucket=20_000)
+    sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert sizes == [25_000] * 8 and out.select("row_number").distinct().count() == 200_000
+
+
+def test_buckets_of_equal_rows_hold_at_most_twice_their_share(spark):
+    ranges = spark.range(0, 200_000, common.COPIES)
+    hashes = ranges.select(F.pmod(F.when(F.col("id") == 0, F.xxhash64(F.lit(5).cast("long"))).otherwise(
+        F.xxhash64(F.lit(5).cast("long"), "id")), F.lit(10)).alias("b"))
+    assert max(r["count"] for r in hashes.groupBy("b").count().collect()) * common.COPIES <= 2 * 20_000
+
+
+def test_registered_shards(spark, tmp_path):
+    texts = [None, "", "ö🙂 text", "same", "same", "long " * 30_000]
+    rows = [(i if i % 4 else None, t, "de", 7) for i in range(20) for t in texts]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, shard int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    out = catalog.op1(spark, str(tmp_path)).collect()
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _, _ in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == want
+    for shard in range(8):
+        mine = sorted(r["slot"] for r in out if r["shard"] == shard)
+        assert mine == list(range(len(mine))) and len(mine) == 15
+    assert {(r["law"], r["grown_shard"]) for r in out} == {("rows", None)}
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert catalog.op1(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_registered_mix(spark, tmp_path):
+    rows = [(i, None if i % 11 == 0 else "w " * (i % 60), f"s{i % 5}" if i % 7 else None, 1.5) for i in range(200)] + [(1001, "w w", "s1", 1.5)] * 50
+    spark.createDataFrame(rows, "doc_id long, text string, source string, target double").repartition(4).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    out = catalog.op6(spark, str(tmp_path)).collect()
+    size = {(i, s): len((t or "").split()) for i, t, s, _ in rows}
+    assert Counter((r["doc_id"], r["size"]) for r in out) == Counter((i, len((t or "").split())) for i, t, _, _ in rows)
+    per = defaultdict(int)
+    for i, t, s, _ in rows:
+        per[s] += len((t or "").split())
+    want, taken = plain_targets(per), defaultdict(int)
+    source = {i: s for i, _, s, _ in rows}
+    for r in out:
+        s = source[r["doc_id"]]
+        taken[s] += r["taken"]
+        assert r["source_size"] == per[s] and r["target"] == pytest.approx(want[s]) and 0 <= r["taken"] <= 2 * r["size"]
+    assert all(abs(taken[s] - want[s]) <= max(3, 0.02 * want[s]) for s in per) and len(size) == 201
+
+
 def plain_spans(text):
     out = []
     text = text or ""

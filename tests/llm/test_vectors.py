@@ -44,6 +44,20 @@ def test_exact_top_k(spark, vectors, tmp_path, monkeypatch):
     assert {tuple(r[k] for k in ("query_id", "rank", "vec_id", "score")) for r in got} == want and len(got) == len(want)
 
 
+def test_repeated_ids_and_no_vectors(spark, tmp_path):
+    # Rows that are equal after the floor are one; rows that share an id, but not the floor, share a list.
+    rows = [(40, [0.011, 1.0], 0), (40, [0.012, 1.0], 0), (41, [0.5, 0.5], 0), (41, [0.501, 0.5], 0), (42, [1.0, 1.0], 0), (60, [0.0, 1.0], 0), (60, [0.5, 1.0], 0)]
+    got = [tuple(r) for r in catalog.op9(spark, write(spark, rows, tmp_path / "a")).collect()]
+    floored = sorted({(i, tuple(math.floor(64 * np.float64(np.float32(x))) for x in v)) for i, v, _ in rows})
+    want = []
+    for q in (40, 60):
+        pairs = sorted((-sum(x * y for x, y in zip(a, b)), c) for p, a in floored if p == q for c, b in floored if c != q)
+        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(pairs[:20])]
+    assert sorted(got) == sorted(want)
+    empty = write(spark, [], tmp_path / "b")
+    assert catalog.op9(spark, empty).count() == 0 and catalog.op10(spark, empty).count() == 0
+
+
 def test_large_products_stay_exact():
     a, b = np.array([[3.0e9, 1.0]]), np.array([[3.0e9 - 1, 7.0]])
     assert topk.products(a, b)[0, 0] == 3_000_000_000 * 2_999_999_999 + 7
