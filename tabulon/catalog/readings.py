@@ -151,8 +151,7 @@ _FORMS = [*S.DAY_FORMS, "yyyy-MM-dd", "yyyy/M/d H:mm", "d-MMM-yyyy h:mm a", "dd
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, 'parsed' AS status FROM ev""")
 def mixed_dates(spark, folder):
     """Days of all events written in fifteen ways, and read again."""
-    forms = F.array(*[F.date_format("ts", f) for f in _FORMS])
-    text = F.element_at(forms, (F.pmod("event_id", F.lit(len(_FORMS))) + 1).cast("int"))
+    text = S.in_turn(F.col("event_id"), [F.date_format("ts", f) for f in _FORMS])
     found = table(spark, folder, "events").select("event_id", read_date(text).alias("d"))
     return found.select("event_id", F.col("d.date").cast("string").alias("day"), "d.status")
 

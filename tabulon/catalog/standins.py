@@ -6,7 +6,9 @@ type decides what went wrong, and its property number spreads the board prices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.catalog.registry import table
@@ -90,12 +92,18 @@ NO_DAYS = ("Unidades:", "2021-02-30", None, "Hoja 7 de 12")
 SHEET = "PUBLICATION"
 
 
+def in_turn(number: Column, values: list[Column]) -> Column:
+    """The value whose turn it is by the number; only that one is computed."""
+    turn = F.pmod(number, F.lit(len(values)))
+    return reduce(lambda c, n: c.when(turn == n, values[n]), range(1, len(values)), F.when(turn == 0, values[0]))
+
+
 def published(spark: SparkSession, folder: str) -> DataFrame:
     """A price sheet with unit lines and impossible days, many date styles, text prices and repeated days."""
     e = events(spark, folder)
     kind, k = F.col("event_type"), F.col("k")
-    written = F.element_at(F.array(*[F.date_format("ts", f) for f in DAY_FORMS]), (k % len(DAY_FORMS) + 1).cast("int"))
-    no_day = F.element_at(F.array(*[F.lit(t) for t in NO_DAYS]), (k % len(NO_DAYS) + 1).cast("int"))
+    written = in_turn(k, [F.date_format("ts", f) for f in DAY_FORMS])
+    no_day = in_turn(k, [F.lit(t) for t in NO_DAYS])
     return e.select(
         F.when((kind == "error") | (F.dayofmonth("ts") >= 28), no_day).when(kind == "signup", written)
         .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("date"),

@@ -42,28 +42,27 @@ _PART = r"[0-9]+|[a-z]+|[^0-9a-z\s.,/-]+"
 PARSED, MISSING, NO_DATE, UNKNOWN_FORM, NO_SUCH_DAY = "parsed", "missing", "no date", "unknown form", "no such day"
 
 
-def _month_numbers() -> Column:
-    known = {name: n for n, m in enumerate(MONTHS, 1) for name in (m, m[:3])} | {"sept": 9}
-    return F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+def _literal_map(values: dict) -> Column:
+    return F.create_map(*[x if isinstance(x, Column) else F.lit(x) for pair in values.items() for x in pair])
 
 
-def _kind(part: Column, months: Column) -> Column:
-    silent = [*FILLERS, *WEEKDAYS, *[w[:3] for w in WEEKDAYS], "tues", "thur", "thurs"]
-    return (
-        F.when(part.rlike("^[0-9]{1,2}$"), "N").when(part.rlike("^[0-9]{4}$"), "Y").when(part.rlike("^[0-9]{8}$"), COMPACT)
-        .when(F.map_contains_key(months, part), "M").when(part.isin(silent), "").otherwise("X")
-    )
+def _months() -> dict[str, int]:
+    return {name: n for n, m in enumerate(MONTHS, 1) for name in (m, m[:3])} | {"sept": 9}
 
 
-def _number(part: Column, months: Column) -> Column:
-    return F.coalesce(F.get(F.array(months[part]), F.lit(0)), part.try_cast("int"))
+def _kind(part: Column, words: Column) -> Column:
+    size = F.length(part)
+    number = F.when(size <= 2, "N").when(size == 4, "Y").when(size == 8, COMPACT).otherwise("X")
+    return F.when(F.rlike(part, F.lit("^[0-9]")), number).otherwise(F.coalesce(F.try_element_at(words, part), F.lit("X")))
 
 
-def _day(parts: Column, places: tuple[int, int, int | None], months: Column) -> Column:
-    year, month, day = (F.lit("1") if p is None else F.get(parts, F.lit(p)) for p in places)
-    full = F.when(F.length(year) <= 2, year.try_cast("int") + F.when(year.try_cast("int") < PIVOT, 2000).otherwise(1900)).otherwise(
-        year.try_cast("int"))
-    return F.try_make_timestamp(full, _number(month, months), day.try_cast("int"), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+def _day(parts: Column, places: Column, months: Column) -> Column:
+    """The date whose year, month and day are at ``places`` of the parts; without a place for it, the day is 1."""
+    year, month = F.get(parts, places[0]), F.get(parts, places[1])
+    day = F.coalesce(F.get(parts, places[2]).try_cast("int"), F.when(places[2] < 0, 1))
+    short = F.when(F.length(year) <= 2, F.when(year.try_cast("int") < PIVOT, 2000).otherwise(1900)).otherwise(0)
+    return F.try_make_timestamp(year.try_cast("int") + short, F.coalesce(F.try_element_at(months, month), month.try_cast("int")), day,
+                                F.lit(0), F.lit(0), F.lit(0)).cast("date")
 
 
 def _bind(value: Column, use) -> Column:
@@ -82,26 +81,29 @@ def read_date(text: Column, day_first: bool = False) -> Column:
     make no date); ``no such day`` (a date's parts, but not in the calendar). All but the first have a null date.
     """
     lowered = F.lower(F.trim(text.cast("string")))
-    months = _month_numbers()
+    silent = [*FILLERS, *WEEKDAYS, *[w[:3] for w in WEEKDAYS], "tues", "thur", "thurs"]
+    words = _literal_map({w: "M" for w in _months()} | {w: "" for w in silent})
+    months = _literal_map(_months())
+    swapped = {k: tuple(reversed(r)) if day_first and k in ("NNY", "NNN") else r for k, r in FORMS.items()}
+    forms = _literal_map({k: F.array(*[F.array(*[F.lit(-1 if p is None else p) for p in places]) for places in r]) for k, r in swapped.items()})
     dated = F.when(F.rlike(lowered, F.lit(_TIME)), F.regexp_extract(lowered, _TIME, 1)).otherwise(lowered)
 
-    def judged(parts: Column) -> Column:
-        return _bind(F.struct(parts.alias("parts"), F.array_join(F.transform(parts, lambda p: _kind(p, months)), "").alias("kinds")), found)
+    def judged(said: Column) -> Column:
+        return _bind(F.struct(F.transform(said, lambda x: x["text"]).alias("parts"),
+                              F.array_join(F.transform(said, lambda x: x["kind"]), "").alias("kinds")), found)
 
     def found(x: Column) -> Column:
-        date = F.lit(None).cast("date")
-        for kinds, readings in FORMS.items():
-            if day_first and kinds in ("NNY", "NNN"):
-                readings = readings[::-1]
-            date = F.when(x["kinds"] == kinds, F.coalesce(*[_day(x["parts"], r, months) for r in readings])).otherwise(date)
         whole = F.get(x["parts"], F.lit(0))
-        cut = F.array(F.substring(whole, 1, 4), F.substring(whole, 5, 2), F.substring(whole, 7, 2))
-        date = F.when(x["kinds"] == COMPACT, _day(cut, (0, 1, 2), months)).otherwise(date)
-        status = (F.when(date.isNotNull(), PARSED).when(x["kinds"].isin(*FORMS, COMPACT), NO_SUCH_DAY)
-                  .when(F.rlike(lowered, F.lit("[0-9]")), UNKNOWN_FORM).otherwise(NO_DATE))
-        return F.struct(date.alias("date"), status.alias("status"))
-
-    spoken = F.filter(F.regexp_extract_all(dated, F.lit(_PART), F.lit(0)), lambda p: _kind(p, months) != "")
+        compact = x["kinds"] == COMPACT
+        parts = F.when(compact, F.array(F.substring(whole, 1, 4), F.substring(whole, 5, 2), F.substring(whole, 7, 2))).otherwise(x["parts"])
+        readings = F.try_element_at(forms, F.when(compact, "YNN").otherwise(x["kinds"]))
+        days = F.filter(F.transform(readings, lambda r: _day(parts, r, months)), lambda d: d.isNotNull())
+        return _bind(F.get(days, F.lit(0)), lambda date: F.struct(date.alias("date"), (
+            F.when(date.isNotNull(), PARSED).when(readings.isNotNull(), NO_SUCH_DAY)
+            .when(F.rlike(lowered, F.lit("[0-9]")), UNKNOWN_FORM).otherwise(NO_DATE)).alias("status")))
+
+    parts = F.transform(F.regexp_extract_all(dated, F.lit(_PART), F.lit(0)), lambda p: F.struct(p.alias("text"), _kind(p, words).alias("kind")))
+    spoken = F.filter(parts, lambda x: x["kind"] != "")
     iso = F.rlike(lowered, F.lit(r"^\d{4}-\d\d-\d\d$"))  # the usual case needs no look at its parts
     plain = _bind(lowered.try_cast("date"), lambda d: F.struct(d.alias("date"), F.when(d.isNull(), NO_SUCH_DAY).otherwise(PARSED).alias("status")))
     none = F.struct(F.lit(None).cast("date").alias("date"), F.lit(MISSING).alias("status"))
