@@ -8,6 +8,8 @@ part is year, month and day, whatever stands between them.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +44,9 @@ _PART = r"[0-9]+|[a-z]+|[^0-9a-z\s.,/-]+"
 PARSED, MISSING, NO_DATE, UNKNOWN_FORM, NO_SUCH_DAY = "parsed", "missing", "no date", "unknown form", "no such day"
 
 
-def _literal_map(values: dict) -> Column:
-    return F.create_map(*[x if isinstance(x, Column) else F.lit(x) for pair in values.items() for x in pair])
+def _literal_map(values: dict, type_: str) -> Column:
+    """A constant map; as one text it is two calls to the JVM, not two an entry."""
+    return F.from_json(F.lit(json.dumps(values)), f"map<string,{type_}>")
 
 
 def _months() -> dict[str, int]:
@@ -82,10 +85,10 @@ def read_date(text: Column, day_first: bool = False) -> Column:
     """
     lowered = F.lower(F.trim(text.cast("string")))
     silent = [*FILLERS, *WEEKDAYS, *[w[:3] for w in WEEKDAYS], "tues", "thur", "thurs"]
-    words = _literal_map({w: "M" for w in _months()} | {w: "" for w in silent})
-    months = _literal_map(_months())
+    words = _literal_map({w: "M" for w in _months()} | {w: "" for w in silent}, "string")
+    months = _literal_map(_months(), "int")
     swapped = {k: tuple(reversed(r)) if day_first and k in ("NNY", "NNN") else r for k, r in FORMS.items()}
-    forms = _literal_map({k: F.array(*[F.array(*[F.lit(-1 if p is None else p) for p in places]) for places in r]) for k, r in swapped.items()})
+    forms = _literal_map({k: [[-1 if p is None else p for p in places] for places in r] for k, r in swapped.items()}, "array<array<int>>")
     dated = F.when(F.rlike(lowered, F.lit(_TIME)), F.regexp_extract(lowered, _TIME, 1)).otherwise(lowered)
 
     def judged(said: Column) -> Column:

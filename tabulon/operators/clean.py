@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.coerce import to_number
-from tabulon.functions.mixed_dates import date_rejects, to_date_any
+from tabulon.functions.mixed_dates import date_rejects, read_date
 from tabulon.operators.ordering import first_per_key
 from tabulon.operators.select import extract_columns
 from tabulon.schemas import CHURN_FEATURES, CHURN_TARGET, CUSTOMER_ID, OFFICIAL_PRICES, TENURE
@@ -60,11 +60,12 @@ def clean_official(sheet: DataFrame, sequence: Column, first_day: str = FIRST_OF
     Lines whose date does not parse (units, footers) drop out; :func:`official_rejects` lists them. ``sequence`` is
     the publication order that decides between entries of one day.
     """
+    # As a row of its own the date is read once; the filter would repeat a mere expression.
     dated = sheet.select(
-        to_date_any(F.col("date"), day_first).alias("date"),
+        F.inline(F.array(read_date(F.col("date"), day_first))),
         *[to_number(F.col(c)).alias(c) for c in OFFICIAL_PRICES],
         sequence.alias("_sequence"),
-    ).filter(F.col("date") >= F.lit(first_day).cast("date"))
+    ).drop("status").filter(F.col("date") >= F.lit(first_day).cast("date"))
     return first_per_key(dated, ["date"], [F.col("_sequence").desc()]).drop("_sequence")
 
 
