@@ -43,6 +43,7 @@ def clean_customers(raw: DataFrame, order: Sequence[Column] | None = None, featu
     delivered first counts: by path, then by place in the file.
     """
     target = CHURN_TARGET if include_target else None
+    extract_columns(raw, CUSTOMER_ID, features, target)  # names absent columns first; no job
     if order is None:
         if not is_scan(raw):
             raise ValueError("Say by order which duplicate comes first: these rows don't come from files")
