@@ -1,6 +1,6 @@
-"""Exact quantiles and modes of columns too large for one aggregation buffer.
+"""Exact quantiles of columns too large for one aggregation buffer.
 
-A quantile sketch first brackets each wanted rank; one counting pass keeps the
+Quantile sketches first bracket each wanted rank; one counting pass keeps the
 values inside the brackets and only tallies the rest; ranks are then resolved
 inside the narrow grid slot that holds them. Results equal a full sort with
 linear interpolation, but no task ever holds a whole column.
@@ -10,15 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 1_000
-# The sketch promises rank error 1/accuracy; brackets are four times that wide.
-_MARGIN = 4.0
+# A sketch of this size errs by about a twentieth of a percent of the ranks (one standard
+# deviation); brackets are ten times that wide on either side.
+SKETCH_SIZE = 4096
+_MARGIN = 0.005
 _MIN_BRACKETED = 10_000
 _SLOTS = 1024
+_SUMMARY = pa.schema([
+    ("column", pa.string()), ("n", pa.int64()), ("rows", pa.int64()), ("min", pa.float64()), ("max", pa.float64()),
+    ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())),
+])
 
 
 def number(name: str) -> Column:
@@ -39,104 +45,127 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long_values(df, columns).groupBy("column", "value").agg(F.sum("weight").alias("weight"))
 
 
-def _bracket(column: str, probabilities: Sequence[float], accuracy: int) -> Column:
-    """Aggregate giving (column, n, lo[], hi[]) around each wanted quantile of one column."""
-    x, slack = number(column), _MARGIN / accuracy
-    lows = [max(0.0, p - slack) for p in probabilities]
-    highs = [min(1.0, p + slack) for p in probabilities]
-    sketch = F.percentile_approx(x, lows + highs, accuracy)
-    k = len(probabilities)
-    # Few values need no bracket, and the margin has to outweigh single ranks.
-    few = F.count(x) < _MIN_BRACKETED
-    lo = F.array(*[F.min(x) if lows[i] == 0.0 else F.when(few, F.min(x)).otherwise(sketch[i]) for i in range(k)])
-    hi = F.array(*[F.max(x) if highs[i] == 1.0 else F.when(few, F.max(x)).otherwise(sketch[k + i]) for i in range(k)])
-    return F.struct(F.lit(column).alias("column"), F.count(x).alias("n"), lo.alias("lo"), hi.alias("hi"))
+def _summary(column: str, probabilities: Sequence[float]) -> Column:
+    """Aggregate of one column: how many values, and the sketch's values at the ends and around each wanted rank.
+
+    The sketch keeps the extremes and the count exactly.
+    """
+    sketch = F.kll_sketch_agg_double(number(column), F.lit(SKETCH_SIZE))
+    n = F.kll_sketch_get_n_double(sketch)
+    ranks = [0.0, 1.0, *[max(0.0, p - _MARGIN) for p in probabilities], *[min(1.0, p + _MARGIN) for p in probabilities]]
+    marks = F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(r) for r in ranks]))
+    return F.struct(n.alias("n"), F.when(n > 0, marks).alias("marks"))
 
 
-def quantile_brackets(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], gate: Column | None = None,
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
-    """(column, n, lo[], hi[]): one row per column, from a single scan.
+def _ends(marks: Sequence[float], k: int, few: bool) -> tuple[list[float], list[float]]:
+    """Where the brackets of a column begin and end: everywhere the extremes if there are few values.
 
-    ``gate`` is an aggregate condition on the whole table; while false there are no rows.
+    Few values need no bracket, and the margin has to outweigh single ranks.
     """
-    passed = F.lit(True) if gate is None else gate
-    wide = df.agg(F.array(*[_bracket(c, probabilities, accuracy) for c in columns]).alias("b"), passed.alias("ok"))
-    return wide.filter("ok").select(F.inline("b"))
+    low, high = marks[0], marks[1]
+    return ([low] * k, [high] * k) if few else (list(marks[2:2 + k]), list(marks[2 + k:]))
 
 
-def resolve_quantiles(counts: DataFrame, brackets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """(column, n, q[]) with linear interpolation between neighbouring order statistics."""
-    known = counts.join(F.broadcast(brackets), "column")  # one row per column: bounded by the schema
+def summarise(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], gate: Column | None = None
+) -> DataFrame:
+    """(column, n, rows, min, max, lo[], hi[]): one row per column, from a single scan.
+
+    The scan runs at once and its one row passes the driver, a few numbers per
+    column: sketches draw at random, so whatever compares with their brackets has
+    to see one and the same draw. ``gate`` is an aggregate condition on the whole
+    table; while false there are no rows, and none for an empty table.
+    """
+    passed = F.lit(True) if gate is None else gate
+    found = df.agg(
+        F.array(*[_summary(c, probabilities) for c in columns]).alias("each"),
+        F.count(F.lit(1)).alias("rows"), passed.alias("ok"),
+    ).first()
+    rows = []
+    if found["ok"] and found["rows"]:
+        k = len(probabilities)
+        for c, s in zip(columns, found["each"]):
+            marks = s["marks"] or [None] * (2 + 2 * k)
+            lo, hi = _ends(marks, k, (s["n"] or 0) < _MIN_BRACKETED)
+            rows.append({"column": c, "n": s["n"] or 0, "rows": found["rows"], "min": marks[0], "max": marks[1],
+                         "lo": lo, "hi": hi})
+    return df.sparkSession.createDataFrame(pa.Table.from_pylist(rows, _SUMMARY))
+
+
+def place(counts: DataFrame, summary: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Add ``summary`` and each value's ``band`` and ``slot``; ``held`` is the value inside a bracket, else null.
+
+    Between brackets a band is one slot. Inside, it is cut into even slots.
+    """
+    known = counts.join(F.broadcast(summary), "column")  # one row per column: bounded by the schema
     v = F.col("value")
     k = len(probabilities)
-    lo, hi = [F.col("lo")[i] for i in range(k)], [F.col("hi")[i] for i in range(k)]
-    opened = sum([(v >= b).cast("int") for b in lo], F.lit(0))
-    closed = sum([(v > b).cast("int") for b in hi], F.lit(0))
+    opened = sum([(v >= F.col("lo")[i]).cast("int") for i in range(k)], F.lit(0))
+    closed = sum([(v > F.col("hi")[i]).cast("int") for i in range(k)], F.lit(0))
     inside = opened > closed
-    # Between brackets: an even band, one tally. Inside: the band is cut into slots.
     start, stop = F.get("lo", opened - 1), F.get("hi", closed)
     share = F.coalesce(F.try_divide(v - start, stop - start), F.lit(0.0))
     slot = F.when(inside, F.greatest(F.lit(0), F.least(F.floor(share * _SLOTS), F.lit(_SLOTS - 1))))
-    cells = known.groupBy(
-        "column", "n",
-        (opened + closed).alias("band"),
-        F.coalesce(slot, F.lit(0)).cast("int").alias("slot"),
-        F.when(inside, v).alias("value"),
-    ).agg(F.sum("weight").alias("weight"))
-
-    # Totals per slot are few (columns x bands x slots): rank them to find which hold the targets.
-    totals = cells.groupBy("column", "n", "band", "slot").agg(F.sum("weight").alias("slot_weight"))
-    running = W.partitionBy("column").orderBy("band", "slot")
-    ranked = totals.withColumn("through", F.sum("slot_weight").over(running))
+    # Never null, so that no null check is pushed below an exchange that two readers share.
+    return known.withColumns({
+        "band": F.coalesce(opened + closed, F.lit(0)), "slot": F.coalesce(slot, F.lit(0)).cast("int"), "held": F.when(inside, v),
+    })
+
+
+def resolve_quantiles(cells: DataFrame, totals: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """(column, n, q[]) with linear interpolation between neighbouring order statistics.
+
+    ``cells`` are placed values with their ``weight``, ``totals`` the sums of the
+    weights by (column, n, band, slot): few, so ranking them finds which slots hold
+    the wanted ranks, and only those slots' values are put in order.
+    """
+    spot = [(F.col("n") - 1) * F.lit(p) for p in probabilities]
     targets = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.floor((F.col("n") - 1) * F.lit(p)).cast("bigint").alias("rank"),
-                 ((F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p))).alias("part"))
-        for i, p in enumerate(probabilities)
+        F.struct(F.lit(i).alias("i"), F.lit(step).alias("step"),
+                 F.least(F.floor(at).cast("bigint") + step, F.col("n") - 1).alias("rank"))
+        for i, at in enumerate(spot) for step in (0, 1)
     ])
+    running = W.partitionBy("column").orderBy("band", "slot")
+    ranked = totals.withColumn("before", F.sum("weight").over(running) - F.col("weight"))
     wanted = (
-        ranked.select("*", F.inline(targets))
-        .select(
-            "column", "band", "slot", "n", "i", "part",
-            (F.col("through") - F.col("slot_weight")).alias("before"),
-            "through",
-            F.explode(F.array(F.struct(F.lit(0).alias("step"), F.col("rank").alias("rank")),
-                              F.struct(F.lit(1).alias("step"),
-                                       F.least(F.col("rank") + 1, F.col("n") - 1).alias("rank")))).alias("t"),
-        )
-        .select("*", "t.step", "t.rank")
+        ranked.select("column", "band", "slot", "before", (F.col("before") + F.col("weight")).alias("through"),
+                      F.inline(targets))
         .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("through")))
-        .drop("t", "through")
     )
     # At most two targets per wanted quantile and column: bounded by the schema.
-    hits = cells.join(F.broadcast(wanted), ["column", "n", "band", "slot"])
-    within_slot = W.partitionBy("column", "i", "step").orderBy("value")
-    found = hits.withColumn("upto", F.col("before") + F.sum("weight").over(within_slot)).filter(
+    hits = cells.select("column", "n", "band", "slot", "held", "weight").join(
+        F.broadcast(wanted), ["column", "band", "slot"])
+    within_slot = W.partitionBy("column", "i", "step").orderBy("held")
+    upto = F.col("before") + F.sum("weight").over(within_slot)
+    found = hits.withColumn("upto", upto).filter(
         (F.col("upto") - F.col("weight") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
     )
-    checked = F.when(
-        F.col("value").isNull(), F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double")
-    ).otherwise(F.col("value"))
-    neighbours = found.select("column", "n", "i", "step", "part", checked.alias("x"))
-    steps = neighbours.groupBy("column", "n", "i").agg(
-        F.max(F.when(F.col("step") == 0, F.col("x"))).alias("a"),
-        F.max(F.when(F.col("step") == 1, F.col("x"))).alias("b"),
-        F.max("part").alias("part"),
-    )
-    quantile = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    return steps.groupBy("column", "n").agg(
-        F.sort_array(F.collect_list(F.struct("i", quantile.alias("q")))).alias("pairs")  # one per probability
-    ).select("column", "n", F.col("pairs.q").alias("q"))
+    value = F.when(
+        F.col("held").isNull(), F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double")
+    ).otherwise(F.col("held"))
+
+    def neighbour(i: int, step: int) -> Column:
+        return F.max(F.when((F.col("i") == i) & (F.col("step") == step), F.col("x")))
+
+    return found.withColumn("x", value).groupBy("column", "n").agg(F.array(*[
+        neighbour(i, 0) + (neighbour(i, 1) - neighbour(i, 0)) * (at - F.floor(at)) for i, at in enumerate(spot)
+    ]).alias("q"))
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], gate: Column | None = None
 ) -> DataFrame:
-    """(column, n, q[]) for every column that has values; see :func:`quantile_brackets` for ``gate``."""
-    return resolve_quantiles(
-        long_values(df, columns), quantile_brackets(df, columns, probabilities, gate), probabilities
+    """(column, n, q[]) for every column that has values; see :func:`summarise` for ``gate``.
+
+    Two scans: one for the brackets, one whose values outside them are only tallied.
+    """
+    summary = summarise(df, columns, probabilities, gate).select("column", "n", "lo", "hi")
+    cells = (
+        place(long_values(df, columns), summary, probabilities)
+        .groupBy("column", "n", "band", "slot", "held").agg(F.sum("weight").alias("weight"))
     )
+    totals = cells.groupBy("column", "n", "band", "slot").agg(F.sum("weight").alias("weight"))
+    return resolve_quantiles(cells, totals, probabilities)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], gate: Column | None = None) -> DataFrame:
@@ -144,13 +173,6 @@ def exact_medians(df: DataFrame, columns: Sequence[str], gate: Column | None = N
     return exact_quantiles(df, columns, [0.5], gate).select("column", "n", F.col("q")[0].alias("median"))
 
 
-def modes(counts: DataFrame) -> DataFrame:
-    """(column, mode): most frequent value, the smallest among equals."""
-    return counts.groupBy("column").agg(
-        F.max_by("value", F.struct("weight", (-F.col("value")).alias("smaller"))).alias("mode")
-    )
-
-
 def text_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mode) of text columns: most frequent, alphabetically first among equals."""
     long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot(

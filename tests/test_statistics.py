@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabulon.operators import describe as D
 from tabulon.operators import quantiles as Q
@@ -117,3 +118,44 @@ def test_profile_of_wide_table(spark):
     assert tables["quality"].first()["duplicate_keys"] == 5
     assert tables["histogram"].count() == 45
     assert tables["correlation with Caloric Value"].count() == 33
+
+
+def file_scans(df):
+    """How many file scans the final plan runs; exchanges that are reused scan once."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return final.count("FileScan")
+
+
+def test_describe_is_one_sketch_scan_and_one_counting_scan(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    n = 60_000
+    data = pd.DataFrame({
+        "wide": rng.normal(1e6, 3.0, n), "few": rng.integers(0, 5, n).astype(float), "gone": np.nan,
+        "rare": np.where(np.arange(n) < 7, np.arange(n), np.nan), "same": 2.0,
+    })
+    path = str(tmp_path / "t")
+    spark.createDataFrame(data).repartition(5).write.parquet(path)
+    got_df = D.describe(spark.read.parquet(path))
+    assert file_scans(got_df) == 1  # the sketch scan has run by now
+    got = got_df.toPandas().set_index("column")
+    for c in ("wide", "few", "rare", "same"):
+        x = data[c].dropna()
+        want = [x.mean(), x.std(), x.min(), *x.quantile([0.25, 0.5, 0.75]), x.max(), x.mode()[0], (x == 0).sum() / n * 100]
+        have = got.loc[c, ["mean", "std", "min", "p25", "median", "p75", "max", "mode", "zero_pct"]].astype(float)
+        np.testing.assert_allclose(have, want, rtol=1e-9, atol=1e-9)
+        if c != "same":
+            np.testing.assert_allclose(got.loc[c, ["skew", "kurtosis"]].astype(float), [x.skew(), x.kurt()], atol=1e-6)
+    assert got.loc["gone", "count"] == 0 and pd.isna(got.loc["gone", "mean"]) and pd.isna(got.loc["gone", "mode"])
+    assert D.describe(spark.read.parquet(path).limit(0)).count() == 0
+
+
+def test_medians_take_one_counting_scan_and_no_rows_while_gated(spark, tmp_path):
+    x = np.random.default_rng(6).exponential(10, 50_000)
+    path = str(tmp_path / "t")
+    spark.createDataFrame(pd.DataFrame({"x": x})).repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    medians = Q.exact_medians(df, ["x"])
+    assert file_scans(medians) == 1
+    assert medians.first()["median"] == np.median(x)
+    assert Q.exact_medians(df, ["x"], F.count("*") > 50_000).count() == 0
