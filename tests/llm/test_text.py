@@ -160,6 +160,44 @@ def test_counts_equal_the_unigram_tokenizer(spark, texts):
     assert tokens.count_tokens(df.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("together", [0, 10 ** 9])
+def test_texts_without_spaces_and_both_ways_to_score(monkeypatch, together):
+    import time
+
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    scores = tokens.piece_scores(catalog.tokenizer("piece_bpe_32k.model"))
+    vocabulary = [("<unk>", 0.0), *((f"<0x{b:02X}>", 0.0) for b in range(256)), *scores.items()]
+    plain = Tokenizer(models.Unigram([(p, s if i else 0.0) for i, (p, s) in enumerate(vocabulary)], 0, byte_fallback=True))
+    plain.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    draw = random.Random(4)
+    kinds = ["abcdefghij", "abc \u00e9\u00df\n", "".join(map(chr, range(0x4E00, 0x5200))), "\U0001F642xy \u65e5\u672c"]
+    rows = ["".join(draw.choices(k, k=n)) for k in kinds for n in (1, 3, 17, 400)]
+    monkeypatch.setattr(tokens, "TOGETHER", together)
+    counter = tokens.UnigramCounter(scores)
+    assert counter.count(rows).tolist() == [len(plain.encode(t, add_special_tokens=False).ids) for t in rows]
+    if together:
+        long = ["".join(draw.choices(kinds[0], k=1_000_000)), "".join(draw.choices(kinds[2], k=350_000))]
+        start = time.time()
+        got = counter.count(long).tolist()
+        assert time.time() - start < 20
+        monkeypatch.setattr(tokens, "KEPT_CHARACTERS", 0)
+        assert got[1] == counter.count([long[1]])[0] and not counter.seen
+
+
+def test_the_registered_count_query_equals_a_plain_unigram_model(spark, texts, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    rows = [*enumerate([*texts(60, 9), "a" * 3000, "", None]), (7, "again"), (7, "again"), (None, "no id")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    scores = tokens.piece_scores(catalog.tokenizer("piece_bpe_32k.model"))
+    vocabulary = [("<unk>", 0.0), *((f"<0x{b:02X}>", 0.0) for b in range(256)), *scores.items()]
+    plain = Tokenizer(models.Unigram([(p, s if i else 0.0) for i, (p, s) in enumerate(vocabulary)], 0, byte_fallback=True))
+    plain.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    got = Counter((r["doc_id"], r["n_tokens"]) for r in catalog.QUERIES["op8_viterbi_counts"](spark, str(tmp_path)).collect())
+    assert got == Counter((d, len(plain.encode(t, add_special_tokens=False).ids) if t else 0) for d, t in rows)
+
+
 def test_ties_go_to_the_longest_last_piece():
     from tokenizers import Tokenizer, models
 
