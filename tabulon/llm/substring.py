@@ -15,8 +15,13 @@ from tabulon.llm.common import Words, chunks, mix, powers, run_hashes, stage
 
 WINDOW = 35
 MINIMISER = 4
-HOT_RUNS = 5_000
-RUNS_PER_BUCKET = 15_000
+# Sizes are in words carried: a run of n windows carries its n + window - 1 words.
+HOT_WORDS = 250_000
+WORDS_PER_BUCKET = 750_000
+# A text of one repeated word is a single run; longer runs are cut into overlapping pieces of so many windows.
+RUN_WINDOWS = 4_096
+_BLOCK = 4_096
+_FLUSH = 100_000
 COMPRESSION_LEVEL = 6
 _BASE_A, _BASE_B, _BASE_M = 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
@@ -64,12 +69,27 @@ def split_words(raw: bytes) -> list[bytes]:
     return raw.split()
 
 
+def cut_runs(runs: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``first``, ``last`` and ``key`` of the runs, cut into pieces of at most ``RUN_WINDOWS`` windows.
+
+    Pieces share no window, so each window is still counted once.
+    """
+    parts = (runs.last - runs.first) // RUN_WINDOWS + 1
+    run = np.repeat(np.arange(len(parts)), parts)
+    number = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = runs.first[run] + number * RUN_WINDOWS
+    return first, np.minimum(first + RUN_WINDOWS - 1, runs.last[run]), runs.key[run]
+
+
 def count_runs(texts: DataFrame, window: int, m: int) -> DataFrame:
-    """(``key``, ``n``): how many runs each minimiser has, summed per chunk first."""
+    """(``key``, ``n``): how many words the runs of each minimiser carry, summed per chunk first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, 4_000_000):
-            keys, n = np.unique(Runs(Words(part["text"]), window, m).key, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+            first, last, key = cut_runs(Runs(Words(part["text"]), window, m))
+            keys, which = np.unique(key, return_inverse=True)
+            n = np.zeros(len(keys), dtype=np.int64)
+            np.add.at(n, which, last - first + window)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n)], names=["key", "n"])
 
     return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -85,9 +105,10 @@ def send_runs(texts: DataFrame, hot: np.ndarray, buckets: int, window: int, m: i
         codec = pa.Codec("zstd", compression_level=COMPRESSION_LEVEL)
         for part in chunks(batches, 8_000_000):
             words = Words(part["text"])
-            runs = Runs(words, window, m)
-            cold = ~np.isin(runs.key, hot) if len(hot) else np.ones(len(runs.key), dtype=bool)
-            first, last, key = runs.first[cold], runs.last[cold], runs.key[cold]
+            first, last, key = cut_runs(Runs(words, window, m))
+            if len(hot):
+                cold = ~np.isin(key, hot)
+                first, last, key = first[cold], last[cold], key[cold]
             bucket = (mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             if not len(order):
@@ -193,51 +214,65 @@ def judge_buckets(sent: DataFrame, window: int) -> DataFrame:
 
 
 def hot_windows(texts: DataFrame, hot: np.ndarray, window: int, m: int) -> DataFrame:
-    """(``content``, ``from``, ``to``) of repeated windows whose minimiser is hot.
+    """(``content``, ``from``, ``to``) of passages of repeated windows whose minimiser is hot.
 
     Their windows go one by one, as digests: Spark counts them with a partial
     sum in each task, so a passage that a third of all texts share is no group anywhere.
+    Repeated windows that follow each other join in one range within each stretch of
+    a text, so a text has few ranges at any length.
     """
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary()),
+             pa.array([o[2] for o in out], pa.int64())], names=["digest", "content", "from"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, 4_000_000):
             words = Words(part["text"])
-            runs = Runs(words, window, m)
-            chosen = np.flatnonzero(np.isin(runs.key, hot))
+            pieces_first, pieces_last, key = cut_runs(Runs(words, window, m))
             ids, per = part["content"].to_pylist(), words.per_doc()
             doc_first = np.cumsum(per) - per
             out: list[tuple] = []
-            for r in chosen.tolist():
-                first, last = int(runs.first[r]), int(runs.last[r])
+            for r in np.flatnonzero(np.isin(key, hot)).tolist():
+                first, last = int(pieces_first[r]), int(pieces_last[r])
                 doc = int(words.doc[first])
                 own = split_words(words.data[words.start[first]:words.end[last + window - 1]].tobytes())
                 for k in range(last - first + 1):
                     out.append((hashlib.md5(b" ".join(own[k:k + window])).digest(), ids[doc], first + k - int(doc_first[doc])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary()),
-                 pa.array([o[2] for o in out], pa.int64())], names=["digest", "content", "from"])
+                if len(out) >= _FLUSH:
+                    yield rows(out)
+                    out = []
+            yield rows(out)
 
     each = stage(texts.select("content", "text").mapInArrow(run, "digest binary, content binary, from long"), "hot-windows")
     again = each.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-    return each.join(again, "digest", "left_semi").select("content", "from", (F.col("from") + window).alias("to"))
+    stretches = each.join(again, "digest", "left_semi").groupBy("content", F.floor(F.col("from") / _BLOCK)).agg(
+        F.sort_array(F.collect_set("from")).alias("at"))
+    at = F.col("at")
+    heads = F.filter(at, lambda x, i: (i == 0) | (F.get(at, i - 1) != x - 1))
+    tails = F.filter(at, lambda x, i: (i == F.size(at) - 1) | (F.get(at, i + 1) != x + 1))
+    return stretches.select("content", F.inline(F.arrays_zip(heads.alias("from"), tails.alias("to")))).toDF(
+        "content", "from", "to").withColumn("to", F.col("to") + window)
 
 
-def repeated_passages(texts: DataFrame, window: int = WINDOW, m: int = MINIMISER, hot_runs: int = HOT_RUNS,
-                      runs_per_bucket: int = RUNS_PER_BUCKET) -> DataFrame:
+def repeated_passages(texts: DataFrame, window: int = WINDOW, m: int = MINIMISER, hot_words: int = HOT_WORDS,
+                      words_per_bucket: int = WORDS_PER_BUCKET) -> DataFrame:
     """(``content``, ``ranges``): for each text with any, the word ranges that repeated windows cover.
 
     ``texts`` has ``content`` (16 bytes that name the text) and ``text``, a row
-    for each occurrence. Minimisers are counted first: the totals size the
-    buckets, and minimisers with more than ``hot_runs`` runs (or a ten-thousandth
-    of all runs, so there are at most 10,000 of them) are counted window by window.
+    for each occurrence. The words that each minimiser's runs carry are counted
+    first: the totals size the buckets, and minimisers of more than ``hot_words``
+    (or a ten-thousandth of all, so there are at most 10,000 of them) are counted
+    window by window. Texts may have any length, also of one word repeated.
     """
     # Keys below the bar at any size are only needed as a sum.
-    counts = count_runs(texts, window, m).groupBy(F.when(F.col("n") > hot_runs, F.col("key")).alias("key")).agg(F.sum("n").alias("n"))
+    counts = count_runs(texts, window, m).groupBy(F.when(F.col("n") > hot_words, F.col("key")).alias("key")).agg(F.sum("n").alias("n"))
     counts = stage(counts, "run-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    bar = max(hot_runs, total // 10_000)
+    bar = max(hot_words, total // 10_000)
     busy = counts.filter(F.col("key").isNotNull() & (F.col("n") > bar))
     hot = np.array(sorted(r["key"] for r in busy.select("key").collect()), dtype=np.int64)
-    found = judge_buckets(send_runs(texts, hot, max(1, math.ceil(total / runs_per_bucket)), window, m), window)
+    found = judge_buckets(send_runs(texts, hot, max(1, math.ceil(total / words_per_bucket)), window, m), window)
     if len(hot):
         found = found.unionByName(hot_windows(texts, hot, window, m))
     return found.groupBy("content").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))

@@ -40,12 +40,12 @@ def documents(texts):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_runs": 3, "runs_per_bucket": 20}])
+@pytest.mark.parametrize("options", [{}, {"hot_words": 150, "words_per_bucket": 900}])
 def test_repeats_are_removed_exactly(spark, documents, options):
     df = spark.createDataFrame([(a, b, 1) for a, b in documents], "doc_id long, text string, ranges int").repartition(3)
     if options:  # the bar of a ten-thousandth is below these counts, so hot minimisers occur
         counts = substring.count_runs(df.select("text"), 35, substring.MINIMISER)
-        assert counts.filter("n > 3").count() > 0
+        assert counts.filter("n > 150").count() > 0
     got = substring.remove_repeats(df, **options).collect()
     assert Counter(tuple(r["doc_id n_words n_removed kept_sha256".split()[k]] for k in range(4)) for r in got) == Counter(
         plain_repeats(documents, 35))
@@ -53,6 +53,31 @@ def test_repeats_are_removed_exactly(spark, documents, options):
     assert substring.remove_repeats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [10 ** 12, 100])
+def test_long_runs_are_cut_and_ranges_joined_without_changing_a_word(spark, texts, monkeypatch, hot):
+    monkeypatch.setattr(substring, "RUN_WINDOWS", 7)
+    monkeypatch.setattr(substring, "_BLOCK", 50)
+    some = texts(200, 3)
+    rows = [(1, "a " * 400), (2, " ".join(some) + " b" * 90), (3, "x " + " ".join(some[20:80])), (4, "c " * 35), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    content = df.withColumn("content", F.unhex(F.md5("text")))
+    got = substring.remove_repeats(df, hot_words=hot, words_per_bucket=500).collect()
+    assert Counter(tuple(r["doc_id n_words n_removed kept_sha256".split()[k]] for k in range(4)) for r in got) == Counter(
+        plain_repeats(rows, 35))
+    ranges = substring.repeated_passages(content, hot_words=hot, words_per_bucket=500).collect()
+    assert all(len(r["ranges"]) < 80 for r in ranges)
+
+
+def test_a_text_of_one_word_is_no_group_and_no_long_list(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "word " * 1_000_000), (2, "other text")], "doc_id long, text string")
+    start = time.time()
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring.remove_repeats(df).collect()}
+    assert time.time() - start < 40
+    assert got == {1: (1_000_000, 1_000_000, ""), 2: (2, 0, "other text")}
+
+
 def test_windows_with_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(substring, "run_hashes", lambda words, n, base: np.zeros(max(0, len(words) - n + 1), np.uint64))
     line, number = substring.repeated_windows(pa.array(["a b c", "d a b", "x y"], pa.large_string()), 2)
