@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tabulon.catalog.streams import land_by_week
+from tabulon.catalog.streams import land_by_week, stream_ingest, stream_score
 from tabulon.session import scratch_path, shared_folder
 from tabulon.sources.versions import commit_version, current_version, manifest, read_version
 from tabulon.streaming import (
@@ -185,3 +185,22 @@ def test_a_burst_week_lands_in_several_files(spark, tmp_path):
     burst = landed.filter("event_id < 1000").select("week", F.input_file_name().alias("file")).collect()
     files = Counter(r["file"] for r in burst)
     assert len({r["week"] for r in burst}) == 1 and len(files) >= 8 and max(files.values()) <= 250
+
+
+def graded_documents(spark, folder, files):
+    """Documents and labels, the documents as a folder of so many files."""
+    rows = [(i, "abc"[i % 3], "xy"[i % 2] if i % 5 else None, 10 * i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_chars long")
+    docs.repartition(files).write.parquet(f"{folder}/documents.parquet")
+    marks = [(i, int(i % 4 < 2), int(i % 7 == 0)) for i in range(50)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{folder}/labels.parquet")
+
+
+def test_stream_of_a_table_that_is_a_folder(spark, tmp_path):
+    root = str(tmp_path)
+    graded_documents(spark, root, 3)
+    found = stream_score(spark, root).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(60)) and all(r["same_as_batch"] for r in found)
+    rows = spark.range(40).selectExpr("id AS event_id", "id % 3 AS user_id", "'click' AS event_type", "id / 2 AS value")
+    rows.repartition(4).write.parquet(f"{root}/events.parquet")
+    assert sorted(r["event_id"] for r in stream_ingest(spark, root).collect()) == list(range(40))
