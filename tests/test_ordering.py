@@ -130,3 +130,11 @@ def test_report_figures(spark):
     assert chart_series(df.filter("filename = 'a'")).count() == 0
     board = df.select("filename", "datetime_original", *[F.col("price_per_gallon_gtq").alias(c) for c in BOARD_PRICES])
     assert latest_confirmed_board(board).first()["filename"] == "a"
+
+
+def test_cells_of_a_large_table_stay_small(spark):
+    rows = spark.range(600_000).select(((F.col("id") * 7919) % 600_000).alias("at"), F.lit("hot").alias("who"))
+    cells = with_cell(rows, cells_for(rows), ["at"], ["who"]).groupBy(CELL).count().collect()
+    assert max(r["count"] for r in cells) < 400_000 and sum(r["count"] for r in cells) == 600_000
+    gaps = with_previous(rows, {"before": F.col("at")}, ["at"], ["who"]).select((F.col("at") - F.col("before")).alias("gap"))
+    assert {r["gap"]: r["count"] for r in gaps.groupBy("gap").count().collect()} == {None: 1, 1: 599_999}
