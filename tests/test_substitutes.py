@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabulon.ml.substitutes import fit_substitutes, nearest_substitutes, per_portion
+from tabulon.ml.substitutes import BOX_ROWS, _best, _Tile, fit_substitutes, nearest_substitutes, per_portion
 
 COLUMNS = ["fat", "salt", "iron", "same"]
 
@@ -82,3 +82,43 @@ def test_repeated_keys_empty_tables_and_missing_portions(spark, foods):
 def test_kmeans_on_a_sample_indexes_every_row(spark, foods):
     index = fit_substitutes(table(spark, foods), "food", COLUMNS, "kcal", clusters=4, fit_rows=60)
     assert rows_of(nearest_substitutes(index, 2)) == plain(foods, 2, lambda q, c: True)
+
+
+def test_a_tile_is_searched_by_boxes_and_finds_the_same(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(4000, 3)), np.zeros((600, 3))])  # many rows alike
+    ids, rules = rng.permutation(len(x)), np.where(rng.random((len(x), 1)) < 0.1, np.nan, x[:, :1])
+    asked = rng.choice(len(x), 500)
+    pairs = 0
+
+    def counted(*a):
+        nonlocal pairs
+        pairs += len(a[0]) * len(a[3])
+        return _best(*a)
+
+    for signs in ([0], [-1], [1]):
+        row, col, away = _best(ids, x, rules, ids[asked], x[asked], rules[asked], 5, signs)
+        want = [(q, int(ids[c]), round(float(d), 9)) for q, c, d in zip(row, col, away)]
+        tile = _Tile(ids, x, rules)
+        assert max(b - a for a, b in tile.ends) <= BOX_ROWS
+        monkeypatch.setattr("tabulon.ml.substitutes._best", counted)
+        row, col, away = tile.search(ids[asked], x[asked], rules[asked], np.full(len(asked), np.inf), 5, signs)
+        monkeypatch.undo()
+        assert [(q, int(tile.ids[c]), round(float(d), 9)) for q, c, d in zip(row, col, away)] == want
+    assert pairs < 3 * len(x) * len(asked) / 2
+
+
+def test_large_clusters_are_cut_into_cells_in_space(spark, foods):
+    index = fit_substitutes(table(spark, foods), "food", COLUMNS, "kcal", clusters=2, rule=["fat"], tile_values=400)
+    sizes = [r["count"] for r in index.rows.groupBy("cell").count().collect()]
+    assert len(sizes) > 8 and max(sizes) <= 100
+    lean = lambda q, c: c[2] / c[1] < q[2] / q[1]
+    assert rows_of(nearest_substitutes(index, 4, lower=["fat"])) == plain(foods, 4, lean)
+    one = {r["key"]: r["group"] for r in index.rows.collect()}
+    near = [r for r in plain(foods, 400, lean) if one[r[0]] == one[r[2]]]
+    want, seen = [], {}
+    for q, _, f, d in near:
+        seen[q] = seen.get(q, 0) + 1
+        if seen[q] <= 3:
+            want.append((q, seen[q], f, d))
+    assert rows_of(nearest_substitutes(index, 3, lower=["fat"], within=True)) == sorted(want)
