@@ -27,8 +27,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit_languages(docs.select("doc_id", "text", "lang"))
     if not model.languages:
         return docs.filter(F.rlike("text", F.lit(r"\p{L}")))
-    found = langid.identify(_whole(docs), model, langid.KNOWN_SHARE)
-    return found.filter(F.col("lang_pred") != langid.UNDETERMINED).select("_doc.*")
+    # The text travels once beside the other columns, not also inside them: rows pass through Python here.
+    rest = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_doc"), "text")
+    found = langid.identify(rest, model, langid.KNOWN_SHARE).filter(F.col("lang_pred") != langid.UNDETERMINED)
+    return found.select(*[F.col("text") if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def _content(docs: DataFrame) -> Column:

@@ -18,6 +18,8 @@ CELLS = 1 << 16
 SMOOTHING = 0.05
 UNDETERMINED = "und"
 KNOWN_SHARE = 1 / 2
+#: Bytes of text that a task holds as trigrams at a time; each takes about 100 bytes of arrays meanwhile.
+TEXT_BYTES = 400_000
 
 
 @dataclass(frozen=True)
@@ -67,7 +69,7 @@ def fit_languages(labelled: DataFrame, docs_per_language: int = 2000) -> Languag
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for part in chunks(batches):
+        for part in chunks(batches, TEXT_BYTES):
             cells, _ = _grams(words := Words(part["text"]))
             names, codes = np.unique(np.array(part["lang"].to_pylist(), dtype=object).astype(str), return_inverse=True)
             owner = np.repeat(codes[words.doc], words.end - words.start)
@@ -205,7 +207,7 @@ def identify(docs: DataFrame, model: LanguageModel, known: float = 0.0) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = held.value
-        for part in chunks(batches):
+        for part in chunks(batches, TEXT_BYTES):
             if learned.languages:
                 names, scores, share = predict(part["text"], learned)
             else:

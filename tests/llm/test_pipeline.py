@@ -1,16 +1,18 @@
 """The pipeline's stages, each on what the one before kept, against plain Python."""
 
+import tracemalloc
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_native import plain_spans, plain_targets
 from test_text import WORDS, plain_classes
 from tests_llm_languages import make
 
-from tabulon.llm import catalog, secrets
-from tabulon.llm.common import stage
+from tabulon.llm import catalog, langid, secrets
+from tabulon.llm.common import chunks, stage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _doc int, taken string"
 
@@ -107,3 +109,26 @@ def test_language_rejects_what_no_label_taught(spark, documents):
     unlabelled = [(*r[:2], None, *r[3:]) for r in documents + foreign]
     out = corpus_pipeline.language(spark, spark.createDataFrame(unlabelled, SCHEMA), "")
     assert Counter(tuple(r) for r in out.collect()) == Counter((*r[:2], None, *r[3:]) for r in lettered + foreign)
+
+
+def test_language_needs_little_memory_a_task():
+    """Trigrams of a batch of long texts are made in pieces: a task holds some 100 bytes for each byte of a piece."""
+    text = " ".join(t for _, t, _, _ in make())
+    texts = pa.array([text[:50_000]] * 80)
+    model = langid.LanguageModel(("aa", "bb"), np.log(np.full((langid.CELLS, 2), 1 / langid.CELLS)))
+    tracemalloc.start()
+    for part in chunks(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), langid.TEXT_BYTES):
+        langid.predict(part["text"], model)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60_000_000
+
+
+def test_language_carries_a_text_once(spark, tmp_path, monkeypatch):
+    sent = []
+    found = langid.identify
+    monkeypatch.setattr(langid, "identify", lambda docs, *a: sent.append(docs.schema) or found(docs, *a))
+    rows = spark.createDataFrame(make(), "doc_id long, text string, lang string, n_chars int").select("lang", "text", "n_chars", "doc_id")
+    kept = corpus_pipeline.language(spark, rows, str(tmp_path))
+    assert kept.schema == rows.schema and sent[0]["_doc"].dataType.names == ["lang", "n_chars", "doc_id"]
+    assert Counter(kept.collect()) == Counter(rows.collect())
