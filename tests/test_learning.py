@@ -180,6 +180,27 @@ def test_one_fit_answers_all_sizes(spark, parts, monkeypatch):
     assert sorted(r["family"] for r in ranked.filter("family_rank = 1").collect()) == sorted(small)
 
 
+def test_forests_keep_node_ids_and_grow_the_same_trees(spark, parts):
+    family = FAMILIES["random_forest"]
+    kept = family.classifier({"n_estimators": 5, "max_depth": None, "min_samples_leaf": 2})
+    fit = TabularPreparer(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(parts[0]).transform(parts[0]).select("label", "features").coalesce(1).cache()
+    assert kept.getCacheNodeIds()
+    walked = kept.copy({kept.cacheNodeIds: False})
+    grown, again = ([t.toDebugString.split("\n", 1)[1] for t in f.fit(fit).trees] for f in (kept, walked))  # the first line names the object
+    assert grown == again
+
+
+def test_folds_are_spread_over_the_tasks(spark, parts, monkeypatch):
+    """A training table of one small file is dealt to as many tasks as run at once, not fitted by one."""
+    monkeypatch.setattr(tune, "_LEAST_ROWS", 20)
+    train = parts[0].coalesce(1)
+    folds = tune.prepared_folds(train, [ROW_KEY], CHURN_NUMERIC, CHURN_CATEGORICAL, cv=2)
+    for f in folds:
+        sizes = f.fit.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert sum(sizes) + f.held.count() == train.count()
+        assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
+
+
 @pytest.mark.parametrize("sizes,test_size", [((374, 1035), 0.2), ((5, 2), 0.5), ((10, 1), 0.3), ((3, 3, 3), 0.34)])
 def test_split_is_exact_and_storage_independent(spark, sizes, test_size):
     rows = [(f"{c}-{i}", c) for c, n in enumerate(sizes) for i in range(n)]
