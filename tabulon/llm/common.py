@@ -124,26 +124,32 @@ def ordered_sha256(pieces: DataFrame, keys: list[str], order: list[str], piece:
 def star_forest(links: DataFrame, name: str) -> DataFrame:
     """Each node of ``links`` (a, b) that isn't the smallest of its component, under the smallest: (node, root).
 
-    Large-star and small-star steps in turn; every step's links are written to
-    the shared folder, so lineage stays short and a lost executor costs one step.
+    Large-star and small-star steps in turn; every round's links are written to
+    the shared folder, so lineage stays short and a lost executor costs one round.
     Stops when nobody has two parents and no parent is a child, after about
     log(nodes) rounds. ``links`` are read several times: pass a staged table.
+    A step deals its links by node once, for the smallest neighbour and for the
+    links that move there; a round makes no link twice as long, so only its end
+    removes equal ones. Each shuffle costs the driver a task's record a partition.
     """
-    def star(edges: DataFrame, large: bool) -> DataFrame:
+    def smallest(edges: DataFrame) -> DataFrame:
+        """Each link (a, b) with ``m``, the smallest of ``a`` and its neighbours."""
+        dealt = edges.repartition("a")
+        return dealt.join(dealt.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "a")
+
+    def large_star(edges: DataFrame) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if not large:  # each node with its smaller neighbours only
-            both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = both.join(least, "a")
-        moved = joined.filter(F.col("b") > F.col("a")) if large else joined
-        out = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        if not large:  # the node itself also hangs on its smallest neighbour
-            out = out.union(least.select("a", F.col("m").alias("b")))
-        return out.filter(F.col("a") != F.col("b")).distinct()
+        return smallest(both).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+    def small_star(edges: DataFrame) -> DataFrame:
+        # Each node with its smaller neighbours only; these and the node itself hang on the smallest.
+        found = smallest(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+        each = found.select("m", F.explode(F.array("a", "b")).alias("a")).select("a", F.col("m").alias("b"))
+        return each.filter(F.col("a") != F.col("b"))
 
     edges = links.select("a", "b").filter("a <> b")
     while True:
-        edges = stage(star(star(edges, True), False), name)
+        edges = stage(small_star(large_star(edges)).distinct(), name)
         part = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
             edges.select("b", F.lit(0), F.lit(1)))
         part = part.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
